@@ -48,6 +48,6 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> dict[str, Query]:
-    from berthlake.registry import ingest_queries, schedule_queries  # noqa: F401
+    from berthlake.registry import ingest_queries, panel_queries, schedule_queries  # noqa: F401
 
     return QUERIES
