@@ -18,6 +18,8 @@ WINDOW = filters.TrainingWindow(
     1997, 2001, 6, (filters.Exclusion("terminal_6", year=1997), filters.Exclusion("terminal_7", before="2000-07-01")))
 CUT = 2001
 CORRECTIONS = (("terminal_1", 2001, 6, 1.25),)
+# added before rounding, so that a sum that differs in the last bit does not flip a tie
+EPSILON = "1e-9"
 
 
 def sql_case(values, key):
@@ -160,7 +162,7 @@ def panel(spark, sf, grain="month"):
 
 
 def rounded(df, *columns, digits=4):
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: F.round(F.col(c) + float(EPSILON), digits) for c in columns})
 
 
 # ------------------------------------------------------------------ filters
@@ -220,7 +222,7 @@ ML_GROWTH = """(total_container - prev_1month_total_container) / nullif(prev_1mo
 
 
 def ml_round(*names):
-    return ", ".join(f"round({n}, 6) AS {n}" for n in names)
+    return ", ".join(f"round({n} + 1e-9, 6) AS {n}" for n in names)
 
 
 def ml(spark, sf):
@@ -297,17 +299,17 @@ def scan_freight_index(spark, sf):
     return index(spark, sf)
 
 
-@query("monthly_freight_index", f"WITH {INDEX_M_SQL} SELECT category, year, period, round(index_raw, 4) AS index_raw FROM index_m")
+@query("monthly_freight_index", f"WITH {INDEX_M_SQL} SELECT category, year, period, round(index_raw + 1e-9, 4) AS index_raw FROM index_m")
 def monthly_freight_index(spark, sf):
     return rounded(series.monthly_index(index(spark, sf)), "index_raw")
 
 
-@query("biweekly_freight_index", f"WITH {INDEX_BIWEEK_SQL} SELECT category, year, period, round(index_raw, 4) AS index_raw FROM index_m")
+@query("biweekly_freight_index", f"WITH {INDEX_BIWEEK_SQL} SELECT category, year, period, round(index_raw + 1e-9, 4) AS index_raw FROM index_m")
 def biweekly_freight_index(spark, sf):
     return rounded(series.monthly_index(index(spark, sf), "biweek"), "index_raw")
 
 
-@query("index_mom_pct", f"WITH {INDEX_M_SQL} SELECT year, period, round(index_mom, 6) AS index_mom FROM index_c")
+@query("index_mom_pct", f"WITH {INDEX_M_SQL} SELECT year, period, round(index_mom + 1e-9, 6) AS index_mom FROM index_c")
 def index_mom_pct(spark, sf):
     out = series.index_change(series.monthly_index(index(spark, sf)))
     return rounded(out.select("year", "period", "index_mom"), "index_mom", digits=6)
@@ -316,7 +318,7 @@ def index_mom_pct(spark, sf):
 # ------------------------------------------------------------------ aggregates per terminal and period
 
 OPS_OUT = ["terminal_id", "year", "period", "month", "idx", "volume", "shift_count", "vessel_count", "carrier_count", "route_count"]
-OPS_SELECT = f"SELECT {', '.join(OPS_OUT)}, round(avg_dwell, 6) AS avg_dwell, round(shift_ratio, 6) AS shift_ratio FROM ops"
+OPS_SELECT = f"SELECT {', '.join(OPS_OUT)}, round(avg_dwell + {EPSILON}, 6) AS avg_dwell, round(shift_ratio + {EPSILON}, 6) AS shift_ratio FROM ops"
 
 
 @query("monthly_terminal_ops", f"WITH {BASE_SQL}, {OPS_SQL} {OPS_SELECT}")
@@ -338,25 +340,25 @@ def scale_partial_month(spark, sf):
 
 
 @query("berth_occupancy", f"""WITH {BASE_SQL}, {OCC_SQL}
-SELECT terminal_id, year, period AS month, round(berth_occupancy, 6) AS berth_occupancy FROM occ""")
+SELECT terminal_id, year, period AS month, round(berth_occupancy + 1e-9, 6) AS berth_occupancy FROM occ""")
 def berth_occupancy(spark, sf):
     return rounded(intervals.berth_occupancy(base(spark, sf)), "berth_occupancy", digits=6)
 
 
 @query("berth_occupancy_sliced", f"""WITH {BASE_SQL}, {OCC_SQL}
-SELECT terminal_id, year, period AS month, round(berth_occupancy, 6) AS berth_occupancy FROM occ""")
+SELECT terminal_id, year, period AS month, round(berth_occupancy + 1e-9, 6) AS berth_occupancy FROM occ""")
 def berth_occupancy_sliced(spark, sf):
     """The layout for hot berths, forced."""
     return rounded(intervals.berth_occupancy(base(spark, sf), hot_rows=10, small_bytes=0), "berth_occupancy", digits=6)
 
 
 @query("berth_occupancy_biweekly", f"""WITH {BASE_SQL}, {OCC_BIWEEK_SQL}
-SELECT terminal_id, year, period AS biweek, round(berth_occupancy, 6) AS berth_occupancy FROM occ""")
+SELECT terminal_id, year, period AS biweek, round(berth_occupancy + 1e-9, 6) AS berth_occupancy FROM occ""")
 def berth_occupancy_biweekly(spark, sf):
     return rounded(intervals.berth_occupancy(base(spark, sf), "biweek"), "berth_occupancy", digits=6)
 
 
-@query("monthly_transship_ratio", f"WITH {RATIO_SQL} SELECT year, month, round(transship_ratio, 6) AS transship_ratio FROM ratios")
+@query("monthly_transship_ratio", f"WITH {RATIO_SQL} SELECT year, month, round(transship_ratio + 1e-9, 6) AS transship_ratio FROM ratios")
 def monthly_transship_ratio(spark, sf):
     return rounded(pn.transship_ratio(monthly(spark, sf)), "transship_ratio", digits=6)
 
@@ -365,13 +367,13 @@ MEANS = ["vessel_count", "avg_dwell", "shift_ratio", "berth_occupancy", "transsh
 
 
 @query("history_means", f"""WITH {PANEL_SQL}
-SELECT terminal_id, period, {", ".join(f"round(avg({c}), 6) AS {c}_mean" for c in MEANS)} FROM panel WHERE year < {CUT} GROUP BY 1, 2""")
+SELECT terminal_id, period, {", ".join(f"round(avg({c}) + 1e-9, 6) AS {c}_mean" for c in MEANS)} FROM panel WHERE year < {CUT} GROUP BY 1, 2""")
 def history_means(spark, sf):
     return rounded(series.history_means(panel(spark, sf), MEANS, CUT), *[f"{c}_mean" for c in MEANS], digits=6)
 
 
 @query("seasonality_index", f"""WITH {BASE_SQL}, {OPS_SQL}
-SELECT month, round(avg(volume) / (SELECT avg(volume) FROM scaled), 6) AS seasonality FROM scaled GROUP BY month""")
+SELECT month, round(avg(volume) / (SELECT avg(volume) FROM scaled) + 1e-9, 6) AS seasonality FROM scaled GROUP BY month""")
 def seasonality_index(spark, sf):
     ops = pn.scale_partial_periods(pn.terminal_ops(base(spark, sf)), CORRECTIONS)
     return rounded(series.seasonality_index(ops), "seasonality", digits=6)
@@ -409,14 +411,14 @@ def panel_query(name, columns, grain="month", digits=4):
     """Register a query that shows some columns of the feature panel."""
     exact = {"terminal_id", "year", "period", "month", "idx", "time_index"}
     select = ", ".join(
-        "CAST(time_index AS INT) AS time_index" if c == "time_index" else c if c in exact else f"round({c}, {digits}) AS {c}"
+        "CAST(time_index AS INT) AS time_index" if c == "time_index" else c if c in exact else f"round({c} + {EPSILON}, {digits}) AS {c}"
         for c in ["terminal_id", "year", "period", *columns])
     sql = f"WITH {PANEL_SQL if grain == 'month' else PANEL_BIWEEK_SQL} SELECT {select} FROM panel"
 
     @query(name, sql)
     def run(spark, sf):
         out = panel(spark, sf, grain).select("terminal_id", "year", "period", *columns)
-        return out.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns if c not in exact})
+        return out.withColumns({c: F.round(F.col(c) + float(EPSILON), digits) + F.lit(0.0) for c in columns if c not in exact})
 
     return run
 
@@ -434,7 +436,7 @@ panel_query("forecast_features_biweekly", ["month", "volume", "time_index", *fv.
 
 
 @query("join_ops_occupancy", f"""WITH {BASE_SQL}, {OPS_SQL}, {OCC_SQL}
-SELECT ops.terminal_id, ops.year, ops.period, volume, round(berth_occupancy, 6) AS berth_occupancy
+SELECT ops.terminal_id, ops.year, ops.period, volume, round(berth_occupancy + 1e-9, 6) AS berth_occupancy
 FROM ops LEFT JOIN occ USING (terminal_id, year, period)""")
 def join_ops_occupancy(spark, sf):
     calls = base(spark, sf)
@@ -450,7 +452,7 @@ gappy AS (SELECT * FROM occ WHERE NOT (period % 5 = 0) AND NOT (terminal_id = 't
 
 @query("impute_from_history_mean", f"""WITH {GAPS_SQL},
 means AS (SELECT terminal_id, period, avg(berth_occupancy) AS m FROM gappy WHERE year < {CUT} GROUP BY 1, 2)
-SELECT ops.terminal_id, ops.year, ops.period, round(coalesce(g.berth_occupancy, m.m, 50.0), 6) AS berth_occupancy
+SELECT ops.terminal_id, ops.year, ops.period, round(coalesce(g.berth_occupancy, m.m, 50.0) + 1e-9, 6) AS berth_occupancy
 FROM ops LEFT JOIN gappy g USING (terminal_id, year, period) LEFT JOIN means m USING (terminal_id, period)""")
 def impute_from_history_mean(spark, sf):
     """With some occupancy rows taken out: mean of the period, and the constant where that is missing too."""
@@ -464,7 +466,7 @@ def impute_from_history_mean(spark, sf):
 
 
 @query("join_transship_ratio", f"""WITH {BASE_SQL}, {OPS_SQL}, {RATIO_SQL}
-SELECT o.terminal_id, o.year, o.period, round(coalesce(r.transship_ratio, {TRANS_DEFAULT.replace("CASE month", "CASE o.month")}, 64.0), 6) AS transship_ratio
+SELECT o.terminal_id, o.year, o.period, round(coalesce(r.transship_ratio, {TRANS_DEFAULT.replace("CASE month", "CASE o.month")}, 64.0) + 1e-9, 6) AS transship_ratio
 FROM ops o LEFT JOIN (SELECT * FROM ratios WHERE month <> 4) r ON r.year = o.year AND r.month = o.month""")
 def join_transship_ratio(spark, sf):
     """Without the April rows, so that the constant of the month is used as well."""
@@ -501,7 +503,7 @@ share AS (SELECT month, avg(transship_ratio) AS m FROM ratios WHERE year < {CUT}
 means AS ({means} UNION ALL SELECT DISTINCT p.terminal_id, 'transship_ratio', p.period, share.m FROM panel p JOIN share ON share.month = p.month WHERE p.year < {CUT}),
 fbs AS (SELECT terminal_id, feature, map(list(period ORDER BY period), list(m ORDER BY period)) AS fb FROM means GROUP BY 1, 2),
 v AS (SELECT terminal_id, feature, idx, {value_at(12, 0)} AS yoy, ({cur}) / 3 AS cur, ({ago}) / 3 AS ago FROM long LEFT JOIN fbs USING (terminal_id, feature))
-SELECT terminal_id, feature, idx, round(yoy * CASE WHEN ago > 0 THEN greatest(0.5, least(2.0, cur / ago)) ELSE 1.0 END, 4) AS adjusted FROM v"""
+SELECT terminal_id, feature, idx, round(yoy * CASE WHEN ago > 0 THEN greatest(0.5, least(2.0, cur / ago)) ELSE 1.0 END + 1e-9, 4) AS adjusted FROM v"""
 
 
 @query("trend_adjusted_feature", adjusted_sql())
