@@ -48,6 +48,8 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> dict[str, Query]:
-    from berthlake.registry import forecast_queries, ingest_queries, panel_queries, schedule_queries  # noqa: F401
+    from berthlake.registry import (  # noqa: F401
+        forecast_queries, ingest_queries, panel_queries, schedule_queries, stream_queries,
+    )
 
     return QUERIES

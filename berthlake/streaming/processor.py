@@ -1,0 +1,70 @@
+"""State of the streaming change detection: the last row per key, and rows that wait for the watermark."""
+
+from __future__ import annotations
+
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class PreviousRow(StatefulProcessor):
+    """Emits every row with the values of the row before it, in the order of (time, id).
+
+    Rows are held until the watermark passes their time, so a snapshot that comes late, but within
+    the delay, takes its place in the order before anything after it is compared.
+    """
+
+    def __init__(self, columns, tracked, schema, last_schema):
+        self.columns, self.tracked = columns, tracked
+        self.schema, self.last_schema = schema, last_schema
+        self.whole = {f.name for f in schema.fields if isinstance(f.dataType, T.IntegralType)}
+
+    def init(self, handle):
+        self.handle = handle
+        self.pending = handle.getListState("pending", self.schema)
+        self.last = handle.getValueState("last", self.last_schema)
+
+    def handleInputRows(self, key, rows, timerValues):
+        first = None
+        for batch in rows:
+            batch = batch[self.columns]
+            if len(batch):
+                low = int(batch["event_ms"].min())
+                first = low if first is None else min(first, low)
+                # whole numbers with gaps arrive as floats
+                values = [
+                    [None if pd.isna(v) else int(v) if name in self.whole else v for v in batch[name]]
+                    for name in self.columns
+                ]
+                self.pending.appendList(list(zip(*values)))
+        if first is not None:
+            self.handle.registerTimer(first)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        watermark = timerValues.getCurrentWatermarkInMs()
+        waiting = [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
+        clock = self.columns.index("event_ms")
+        row_id = self.columns.index("bronze_row_id")
+        due = sorted((r for r in waiting if r[clock] <= watermark), key=lambda r: (r[clock], r[row_id]))
+        later = [r for r in waiting if r[clock] > watermark]
+        self.pending.clear()
+        if later:
+            self.pending.put(later)
+            self.handle.registerTimer(min(r[clock] for r in later))
+        if not due:
+            return
+        at = [self.columns.index(c) for c in self.tracked]
+        before = tuple(self.last.get()) if self.last.exists() else (None,) * len(at)
+        out = []
+        for row in due:
+            out.append(row + before)
+            before = tuple(row[i] for i in at)
+        self.last.update(before)
+        names = self.columns + [f"prev_{c}" for c in self.tracked]
+        yield pd.DataFrame({n: pd.Series([r[i] for r in out], dtype=object) for i, n in enumerate(names)})
