@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from berthlake import fixed_values as fv
 from berthlake.functions import text
+from berthlake.functions.barrier import compute_once
 from berthlake.sources import files
 
 
@@ -41,19 +42,25 @@ def _escaped(c: Column) -> Column:
     return F.replace(out, F.lit("\n"), F.lit("\\n"))
 
 
-def row_json(names: Column, values: Column) -> Column:
-    pair = lambda n, v: F.concat(
-        F.lit('"'), _escaped(F.coalesce(n, F.lit("nan"))), F.lit('": '),
-        F.coalesce(F.concat(F.lit('"'), _escaped(v), F.lit('"')), F.lit("NaN")),
+def json_names(names: Column) -> Column:
+    """The '"name": ' part of every column, made once per file."""
+    return F.transform(
+        names, lambda n: F.concat(F.lit('"'), _escaped(F.coalesce(n, F.lit("nan"))), F.lit('": '))
     )
-    return F.concat(F.lit("{"), F.array_join(F.zip_with(names, values, pair), ", "), F.lit("}"))
+
+
+def row_json(json_names_: Column, values: Column) -> Column:
+    quoted = lambda v: F.coalesce(F.concat(F.lit('"'), _escaped(v), F.lit('"')), F.lit("NaN"))
+    pairs = F.zip_with(json_names_, values, lambda n, v: F.concat(n, quoted(v)))
+    return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
 
 
 def bronze(sheets: DataFrame) -> DataFrame:
     """One row per source row with its cells (``names``, ``values``) and metadata. No shuffle."""
     ruled = apply_header_rule(sheets).filter("error IS NULL")
-    jsons = F.transform("data", lambda v: row_json(F.col("names"), v))
-    ruled = ruled.withColumn("_jsons", jsons).withColumn(
+    ruled = compute_once(ruled, _names=json_names(F.col("names")))
+    ruled = compute_once(ruled, _jsons=F.transform("data", lambda v: row_json(F.col("_names"), v)))
+    ruled = ruled.withColumn(
         "file_hash", F.md5(F.concat(F.lit("["), F.array_join("_jsons", ","), F.lit("]")))
     )
     ts = files.snapshot_ts_of_file("file_name")

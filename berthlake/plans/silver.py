@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from berthlake import fixed_values as fv
 from berthlake.functions import text, time as bt
+from berthlake.functions.barrier import compute_once
 from berthlake.operators.bronze import cell, rows_from
 from berthlake.sources import files
 
@@ -129,10 +130,14 @@ def historical_silver(
     such rows valid; without it the cell is null.
     """
     headed = with_header(sheets)
+    # positions of the columns, once per file
     place = lambda c: (F.array_position("names", c) - 1).cast("int")
-    headed = headed.withColumns(
-        {"_eta": place("eta"), "_etd": place("etd"), "_year": files.year_of_history_file("file_name")}
+    is_work = F.transform(normalized_names(F.col("raw_names")), lambda n: n.contains(fv.HISTORY_WORKLOAD_WORD))
+    wanted = [*TEXT_COLUMNS, *TIME_COLUMNS, *COUNT_COLUMNS]
+    headed = compute_once(
+        headed, **{f"_{c}": place(c) for c in wanted}, _work=(F.array_position(is_work, True) - 1).cast("int"),
     )
+    headed = headed.withColumn("_year", files.year_of_history_file("file_name"))
 
     def timed(values: Column) -> Column:
         return F.struct(
@@ -147,29 +152,28 @@ def historical_silver(
         lambda r: (stay(r) >= 0) & (stay(r) < fv.MAX_STAY_HOURS * 3600),
     )
     rows = headed.select(
-        "file_name", "terminal_no", "names", "raw_names", "_year", F.posexplode(kept).alias("_pos", "_row")
+        "file_name", "terminal_no", "_year", "_work", *[f"_{c}" for c in wanted],
+        F.posexplode(kept).alias("_pos", "_row"),
     ).select("*", F.col("_row.eta").alias("eta"), F.col("_row.etd").alias("etd"), F.col("_row.values").alias("values"))
 
-    work_at = F.array_position(
-        F.transform(normalized_names(F.col("raw_names")), lambda n: n.contains(fv.HISTORY_WORKLOAD_WORD)), True
-    )
-    triple = text.workload_lenient(F.get("values", (work_at - 1).cast("int")))
-    has = lambda c: F.array_contains("names", c)
+    triple = text.workload_lenient(F.get("values", "_work"))
+    has = lambda c: F.col(f"_{c}") >= 0
+    value_of = lambda c: F.get("values", f"_{c}")
 
     def text_cell(c: str) -> Column:
-        value = cell(F.lit(c))
+        value = value_of(c)
         return F.when(has(c), F.coalesce(value, F.lit("nan"))) if missing_as_text else text.clean_token(value)
 
     def count_cell(c: str) -> Column:
-        number = F.coalesce(text.double_or_null(cell(F.lit(c))), F.lit(0.0)).cast("int")
-        return F.when(has(c), number).when(work_at > 0, triple[c]).otherwise(0)
+        number = F.coalesce(text.double_or_null(value_of(c)), F.lit(0.0)).cast("int")
+        return F.when(has(c), number).when(F.col("_work") >= 0, triple[c]).otherwise(0)
 
     no = F.col("terminal_no").cast("string")
     pos = F.col("_pos")
     padded = F.when(pos < 100000, F.lpad(pos.cast("string"), 5, "0")).otherwise(pos.cast("string"))
     out = rows.withColumns({c: text_cell(c) for c in TEXT_COLUMNS}).withColumns(
         {
-            "closing": bt.parse_ts(cell(F.lit("closing"))),
+            "closing": bt.parse_ts(value_of("closing")),
             **{c: count_cell(c) for c in COUNT_COLUMNS},
             "terminal_id": F.concat(F.lit("terminal_"), no),
             "terminal_name": F.try_element_at(text.literal_map(fv.TERMINAL_NAMES), F.col("terminal_no")),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from berthlake.functions.barrier import compute_once
 from berthlake.sources import files, parsers
 
 _XML_SCHEMA = (
@@ -22,27 +23,24 @@ def _flat(sets: Column, field: str) -> Column:
 
 
 def with_dataset_rows(df: DataFrame, content: Column, out: str) -> DataFrame:
-    """Add the rows of a dataset XML, the column ids of its first ColumnInfo being row 0.
-
-    The explodes of one-element arrays are barriers: what they hold is computed once per file,
-    where a plain projection would be inlined and parse the document again for every use.
-    """
+    """Add the rows of a dataset XML, the column ids of its first ColumnInfo being row 0."""
     document = F.from_xml(F.make_valid_utf8(content.cast("string")), _XML_SCHEMA)
-    parsed = df.select("*", F.explode(F.array(document["Dataset"])).alias("_datasets"))
+    parsed = compute_once(df, _datasets=document["Dataset"])
     info = F.get(_flat(F.col("_datasets"), "ColumnInfo"), F.lit(0))
     ids = F.filter(F.transform(info["Column"], lambda c: c["_id"]), lambda i: i.isNotNull())
     rows = _flat(_flat(F.col("_datasets"), "Rows"), "Row")
-    parsed = parsed.select("*", F.explode(F.array(F.struct(ids.alias("ids"), rows.alias("rows")))).alias("_xml"))
+    parsed = compute_once(parsed, _ids=ids, _rows=rows)
 
     def by_id(row: Column) -> Column:
         def last_value(i: Column) -> Column:
             hits = F.filter(row["Col"], lambda c: c["_id"] == i)
             return F.get(hits, F.size(hits) - 1)["_VALUE"]
 
-        return F.transform(F.col("_xml.ids"), last_value)
+        return F.transform(F.col("_ids"), last_value)
 
-    table = F.concat(F.array("_xml.ids"), F.transform("_xml.rows", by_id))
-    return parsed.withColumn(out, F.when(F.size("_xml.ids") > 0, table)).drop("_datasets", "_xml")
+    table = F.concat(F.array("_ids"), F.transform("_rows", by_id))
+    parsed = compute_once(parsed, **{out: F.when(F.size("_ids") > 0, table)})
+    return parsed.drop("_datasets", "_ids", "_rows")
 
 
 _decode_binary = F.pandas_udf(
@@ -70,12 +68,14 @@ def decode(raw: DataFrame, terminal: Column | None = None) -> DataFrame:
         .when((suffix == "xml") & F.col("_dataset_rows").isNull(), "no column definitions in ColumnInfo")
         .when(~suffix.isin(*files.RAW_SUFFIXES), F.concat(F.lit("unsupported suffix: "), suffix))
     )
-    return parsed.select(
-        "path", "file_name", "terminal_no",
-        F.coalesce(F.col("_dataset_rows"), F.col("_bin.rows")).alias("rows"),
-        F.col("_bin.head_rows").alias("head_rows"),
-        problem.alias("error"),
+    # also keeps a later filter on ``error`` from being pushed down, which would decode twice
+    parsed = compute_once(
+        parsed,
+        rows=F.coalesce(F.col("_dataset_rows"), F.col("_bin.rows")),
+        head_rows=F.col("_bin.head_rows"),
+        error=problem,
     )
+    return parsed.select("path", "file_name", "terminal_no", "rows", "head_rows", "error")
 
 
 def good(sheets: DataFrame) -> DataFrame:

@@ -10,10 +10,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from berthlake.functions import text, time as bt
+from berthlake.sources import tables
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return tables.scan(spark, os.path.join(sf_dir, f"{name}.parquet"))
 
 
 # ------------------------------------------------------------------ schedule from events
@@ -32,7 +33,7 @@ def silver_from_events(events: DataFrame) -> DataFrame:
     ts = F.col("ts").cast("timestamp_ntz")
     k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
     terminal_no = ((u + e % 2) % 7 + 1).cast("int")
-    day6 = F.date_trunc("day", ts - F.expr("INTERVAL 6 HOURS")).cast("timestamp_ntz")
+    day6 = bt.operational_date(ts).cast("timestamp_ntz")
     minutes = F.coalesce(
         F.try_element_at(text.literal_map(STAY_MINUTES), F.col("event_type")), F.lit(OUTLIER_MINUTES)
     )
@@ -73,8 +74,9 @@ def silver_from_events(events: DataFrame) -> DataFrame:
     )
     base = base.withColumn("etd", F.col("eta") + F.make_dt_interval(mins="_minutes")).drop("_minutes")
     base = base.withColumn("eta_work_date", bt.operational_date("eta").cast("string"))
-    hashed = [F.coalesce(F.col(c).cast("string"), F.lit("-"))
-              for c in ("berth", "eta", "etd", "closing", "discharge", "loading", "shift")]
+    seconds = [F.unix_timestamp(c).alias(c) for c in ("eta", "etd", "closing")]
+    hashed = [F.coalesce(c.cast("string"), F.lit("-"))
+              for c in [F.col("berth"), *seconds, *map(F.col, ("discharge", "loading", "shift"))]]
     return base.select(
         "*",
         text.terminal_name("terminal_id").alias("terminal_name"),
@@ -124,8 +126,8 @@ silver1 AS (
   FROM silver0),
 silver AS (
   SELECT *, CAST(CAST(eta - INTERVAL 6 HOUR AS DATE) AS VARCHAR) AS eta_work_date,
-    md5(concat_ws('|', coalesce(berth, '-'), coalesce(eta::VARCHAR, '-'), coalesce(etd::VARCHAR, '-'),
-      coalesce(closing::VARCHAR, '-'), coalesce(discharge::VARCHAR, '-'),
+    md5(concat_ws('|', coalesce(berth, '-'), coalesce(epoch(eta)::BIGINT::VARCHAR, '-'),
+      coalesce(epoch(etd)::BIGINT::VARCHAR, '-'), coalesce(epoch(closing)::BIGINT::VARCHAR, '-'), coalesce(discharge::VARCHAR, '-'),
       coalesce(loading::VARCHAR, '-'), coalesce(shift::VARCHAR, '-'))) AS row_hash,
     concat_ws('_', terminal_id, mother_vessel, sun_vessel,
       CAST(CAST(eta - INTERVAL 6 HOUR AS DATE) AS VARCHAR)) AS business_key
