@@ -188,17 +188,16 @@ def project_operations(state: DataFrame, steps: int, horizon: Horizon) -> DataFr
     # ``t`` is a column, not a literal: every step runs the same generated code
     t = F.col("t")
     out = state.withColumns({"path": F.array().cast(_path_type(OPERATIONS)), "t": F.col("last_idx") + 1})
+    operations = {c: projected_operation(c, t, horizon) for c in OPERATIONS}
+    entry = F.struct(t.cast("int").alias("idx"), *[F.col(c) for c in OPERATIONS])
+    after = {
+        "path": F.concat("path", F.array(entry)),
+        **{f"m_{c}": extended(f"m_{c}", t, c) for c in OPERATIONS},
+        "t": t + 1,
+    }
     for _ in range(steps):
-        out = out.withColumns({c: projected_operation(c, t, horizon) for c in OPERATIONS})
-        entry = F.struct(t.cast("int").alias("idx"), *[F.col(c) for c in OPERATIONS])
-        out = out.withColumns(
-            {
-                "path": F.concat("path", F.array(entry)),
-                **{f"m_{c}": extended(f"m_{c}", t, c) for c in OPERATIONS},
-                "t": t + 1,
-            }
-        ).drop(*OPERATIONS)
-        out = cut_lineage(out)  # one row per terminal; keeps the plan short
+        # one row per terminal
+        out = cut_lineage(out.withColumns(operations).withColumns(after).drop(*OPERATIONS))
     return out.select("terminal_id", F.explode("path").alias("p")).select("terminal_id", "p.*")
 
 
@@ -287,31 +286,29 @@ def recursive_forecast(
     period = bt.period_of_year(t, per_year)
     month = bt.month_of_period(period, per_year)
     raw = F.col("base") * (1 + F.col("rate") * (t - F.col("last_idx")) * step_size)
+    operations = {c: projected_operation(c, t, horizon) for c in OPERATIONS}
+    features = {
+        **projected_volume_features(t, horizon),
+        "weight": season_weight(month),
+        "season_sin": bt.season_sin(period, per_year),
+        "season_cos": bt.season_cos(period, per_year),
+        "index_mom": (raw - F.col("index_last")) / F.col("index_last") * 100,
+    }
+    entry = F.struct(
+        t.cast("int").alias("idx"), raw.alias("index_raw"), F.col("predicted").cast("double").alias("predicted"),
+        *[F.col(c).cast("double").alias(c) for c in FEATURES],
+    )
+    next_state = [
+        *[F.col(c) for c in ("terminal_id", "scenario", "rate", "base", "last_idx", "mean_volume", "fallbacks",
+                             "coefficients", "intercept", "means")],
+        raw.alias("index_last"), (t + 1).alias("t"),
+        extended("m_volume", t, "predicted").alias("m_volume"),
+        *[extended(f"m_{c}", t, c).alias(f"m_{c}") for c in OPERATIONS],
+        F.concat("path", F.array(entry)).alias("path"),
+    ]
     for _ in range(steps):
-        rows = state.withColumns({c: projected_operation(c, t, horizon) for c in OPERATIONS}).withColumns(
-            {
-                **projected_volume_features(t, horizon),
-                "weight": season_weight(month),
-                "season_sin": bt.season_sin(period, per_year),
-                "season_cos": bt.season_cos(period, per_year),
-                "index_mom": (raw - F.col("index_last")) / F.col("index_last") * 100,
-            }
-        )
-        scored = predict(rows, trees)
-        entry = F.struct(
-            t.cast("int").alias("idx"), raw.alias("index_raw"), F.col("predicted").cast("double").alias("predicted"),
-            *[F.col(c).cast("double").alias(c) for c in FEATURES],
-        )
-        state = cut_lineage(
-            scored.select(
-                "terminal_id", "scenario", "rate", "base", "last_idx", "mean_volume", "fallbacks",
-                "coefficients", "intercept", "means",
-                raw.alias("index_last"), (t + 1).alias("t"),
-                extended("m_volume", t, "predicted").alias("m_volume"),
-                *[extended(f"m_{c}", t, c).alias(f"m_{c}") for c in OPERATIONS],
-                F.concat("path", F.array(entry)).alias("path"),
-            )
-        )
+        scored = predict(state.withColumns({**operations, **features}), trees)
+        state = cut_lineage(scored.select(*next_state))
     out = state.select("terminal_id", "scenario", "coefficients", "means", F.explode("path").alias("p"))
     return out.select(
         "terminal_id", "scenario", "coefficients", "means",
