@@ -138,7 +138,7 @@ def fallback_values(
     """
     own = [c for c in columns if c != "transship_ratio"]
     means = panel.filter(F.col("year") < before_year).groupBy("terminal_id", "period").agg(
-        *[F.avg(c).alias(c) for c in own], F.first("month").alias("month")
+        *[F.avg(c).alias(c) for c in own], F.min("month").alias("month")
     )
     share = ratios.filter(F.col("year") < before_year).groupBy("month").agg(
         F.avg("transship_ratio").alias("transship_ratio")
