@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthlake.llm import quality, sharding, url_filters
+from berthlake.llm import decontamination, quality, sharding, url_filters
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.scan(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"),
+        keep=["doc_id"], texts=False)
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -55,6 +64,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op3_decontamination": op3_decontamination,
     "op6_jump_sharding": op6_jump_sharding,
     "op7_url_filters": op7_url_filters,
     "op8_quality_rules": op8_quality_rules,
