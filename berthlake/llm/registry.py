@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthlake.llm import decontamination, quality, sharding, url_filters
+from berthlake.llm import decontamination, jaccard_join, quality, sharding, url_filters
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", F.col("class").alias("class_id"), "class_size")
+
+
 def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -65,6 +70,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Run] = {
     "op3_decontamination": op3_decontamination,
+    "op4_jaccard_join": op4_jaccard_join,
     "op6_jump_sharding": op6_jump_sharding,
     "op7_url_filters": op7_url_filters,
     "op8_quality_rules": op8_quality_rules,
