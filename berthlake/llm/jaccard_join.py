@@ -9,9 +9,11 @@
 4. Length, positional and suffix filters drop pairs that cannot reach the similarity; the rest is verified
    once per pair on whole sets.
 5. Pairs are formed between classes that are not in one component yet. First every class meets one pivot per
-   shared shingle, a few times with other pivots; after each time, shingles whose classes are all in one component
-   are done with. The remaining pairs of classes in different components are then joined and verified one by one. So
-   a large group of near copies costs a few passes and not the square of its size, and no link between components is lost.
+   shared shingle: the class whose shingles are the most frequent on average, which in a group of edited copies is the one
+   nearest to the original. Shingles whose classes are all in one component then are done with. While the pairs left
+   outnumber the rows and pivots still halve them, other pivots are taken; then the pairs of classes in different components are joined and
+   verified one by one. So a large group of near copies costs a few passes and not the square of its size, and no
+   link between components is lost.
 
 Edge cases: null and empty texts link with nothing; a text of fewer words than a shingle is one shingle; repeated rows
 are one class; null ids are allowed and count as no id in the smallest id of a component; empty tables give no rows.
@@ -34,7 +36,7 @@ PERCENT = 75
 FREQUENT_SHINGLES = 200_000  # bound of the list of frequent shingles that every task gets: 3.2 MB
 FREQUENT_FROM = 8            # sightings from which a shingle is put on it
 COUNT_CHUNK = 2_000_000      # shingles counted at once
-PIVOT_ROUNDS = 3
+PAIRS_PER_ROW = 1            # further pivots are taken while more pairs than this are left and each round halves them
 FILTER_BITS = 1 << 22        # of the bitmap that thins out texts before they are shuffled: 512 kB
 SUFFIX_CELLS = 32
 
@@ -90,34 +92,36 @@ def prefixes(frequent, shingle: int, percent: int):
         seen: set[int] = set()
         for batch in batches:
             for _, _, data, offsets in arrays.slices(batch.column(0)):
-                tokens, classes, sizes, places = [], [], [], []
+                tokens, classes, sizes, places, scores = [], [], [], [], []
                 for members in arrays.shingle_sets(data, offsets, shingle):
                     key = arrays.set_key(members)
                     if not len(members) or key in seen:
                         continue
                     if len(seen) < 500_000:
                         seen.add(key)  # spares a few rows; equal classes meet again behind the shuffle
-                    n = len(members)
+                    n, score = len(members), 0
                     if len(often):
                         at = np.minimum(np.searchsorted(often, members), len(often) - 1)
                         rank = np.where(often[at] == members, ranks[at], 0)
                         if rank.any():
                             members = members[np.lexsort((members, rank))]
+                            score = min(int(rank.sum()) // n, 1 << 30)
                     size = prefix_size(n, percent)
                     tokens.append(members[:size])
                     classes.append(np.full(size, key, np.int64))
                     sizes.append(np.full(size, n, np.int32))
                     places.append(np.arange(size, dtype=np.int32))
+                    scores.append(np.full(size, score, np.int32))
                 if tokens:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in tokens], classes, sizes, places)],
-                        names=["token", "class", "n", "at"])
+                        [pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in tokens], classes, sizes, places, scores)],
+                        names=["token", "class", "n", "at", "score"])
 
     return run
 
 
 def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (token, class): those whose token occurs in another class too, with the token's first class as pivot.
+    """Rows sorted by (token, falling score, class): those whose token occurs in another class too, with the token's first class as pivot.
 
     Only the first row of the group at hand is kept between batches.
     """
@@ -159,13 +163,15 @@ def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- pairs ----
 
 def possible(pairs: DataFrame, percent: int) -> DataFrame:
-    """Rows (a, b, n_a, n_b, at_a, at_b), one per common prefix shingle: the distinct pairs that pass both filters."""
-    pairs = pairs.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)  # length
-    # at the first common shingle nothing before is common
-    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"))
+    """The distinct pairs of (a, b, n_a, n_b, at_a, at_b), one row per common prefix shingle, that pass two filters.
+
+    Nothing before the first common shingle is common, so there the rest of both sets must hold the whole overlap:
+    percent / (100 + percent) of the sum of the sizes at least. Later common shingles have less room.
+    """
+    length = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    # linked sets have at least percent / (100 + percent) of the sum of their sizes in common
-    return pairs.filter(room * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b")  # position
+    position = room * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return pairs.filter(length & position).select("a", "b").distinct()
 
 
 def oriented(x: str, y: str) -> list[Column]:
@@ -275,49 +281,56 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id
     frequent = spark.sparkContext.broadcast((values[order], ranks[order]))
 
     rows = source.select("text").mapInArrow(
-        prefixes(frequent, shingle, percent), "token bigint, class bigint, n int, at int")
-    rows = rows.repartition("token").sortWithinPartitions("token", "class")
+        prefixes(frequent, shingle, percent), "token bigint, class bigint, n int, at int, score int")
+    rows = rows.repartition("token").sortWithinPartitions("token", F.desc("score"), "class").drop("score")
     shared = stored(rows.mapInArrow(
         shared_only, "token bigint, class bigint, n int, at int, pivot bigint, pivot_n int, pivot_at int"), "shared")
 
-    wanted = bitmap(spark, shared.select("class").distinct(), "class")
-    texts = source.select("text").mapInArrow(wanted_texts(wanted, shingle), "class bigint, text string, cells array<int>")
-    texts = stored(texts.dropDuplicates(["class"]), "texts")
-
     def meet(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+        """All pairs tried so far, with ``linked`` true for those that link."""
         pairs = possible(pairs, percent)
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        wanted = bitmap(spark, pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "class")
+        texts = source.select("text").mapInArrow(wanted_texts(wanted, shingle), "class bigint, text string, cells array<int>")
+        texts = stored(texts.dropDuplicates(["class"]), "texts")
         good = verified(pairs, texts, shingle, percent).withColumn("linked", F.lit(True))
         tried = stored(pairs.join(good, ["a", "b"], "left"), "tried")
         return tried if known is None else known.unionByName(tried)
 
-    pivots = shared.withColumnsRenamed({"class": "x_class", "n": "x_n", "at": "x_at", "pivot": "y_class", "pivot_n": "y_n", "pivot_at": "y_at"})
-    tried = meet(pivots.filter("x_class <> y_class").select(*oriented("x_", "y_")), None)
-    labels = components(tried.filter("linked"), "a", "b")
-
-    def open_rows(labels: DataFrame) -> DataFrame:
-        """Shared rows with their component, of shingles that more than one component has."""
+    def open_rows(labels: DataFrame) -> tuple[DataFrame, float, int]:
+        """Shared rows with their component, of shingles that more than one component has; their pairs, and how many they are."""
         named = shared.select("token", "class", "n", "at").join(labels.withColumnRenamed("node", "class"), "class", "left")
         named = named.withColumn("component", F.coalesce("component", "class"))
-        ends = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        return named.join(ends.select("token"), "token")
-
-    for turn in range(1, PIVOT_ROUNDS):
-        rows = stored(open_rows(labels), "open")
-        pivot = rows.groupBy("token").agg(F.min_by(
-            F.struct("class", "n", "at", "component"), F.xxhash64("class", F.lit(turn))).alias("p"))
+        groups = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("rows"))
+        groups = groups.groupBy("token").agg(
+            F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("rows"),
+            F.sum(F.col("rows").cast("double") * F.col("rows")).alias("within")).filter("parts > 1")
+        rows = stored(named.join(groups.select("token", "rows", "within"), "token"), "open")
+        # each row of a group with r rows adds (r - within / r) / 2 pairs of different components
+        left = rows.agg(F.sum((F.col("rows") - F.col("within") / F.col("rows")) / 2).alias("pairs"), F.count(F.lit(1)).alias("n")).first()
+        return rows.drop("rows", "within"), left["pairs"] or 0.0, left["n"]
+
+    first = shared.filter(F.col("class") != F.col("pivot")).withColumnsRenamed(
+        {"class": "x_class", "n": "x_n", "at": "x_at", "pivot": "y_class", "pivot_n": "y_n", "pivot_at": "y_at"})
+    tried = meet(first.select(*oriented("x_", "y_")), None)
+    labels = components(tried.filter("linked"), "a", "b")
+    rows, left, n = open_rows(labels)
+    side = ("class", "n", "at", "component")
+    before, turn = float("inf"), 0
+    while left > PAIRS_PER_ROW * n and left < before / 2:
+        before, turn = left, turn + 1
+        pivot = rows.groupBy("token").agg(F.min_by(F.struct(*side), F.xxhash64("class", F.lit(turn))).alias("p"))
         met = rows.join(pivot, "token").filter(F.col("component") != F.col("p.component")).select(
-            *(F.col(c).alias(f"x_{c}") for c in ("class", "n", "at")), *(F.col(f"p.{c}").alias(f"y_{c}") for c in ("class", "n", "at")))
+            *(F.col(c).alias(f"x_{c}") for c in side), *(F.col(f"p.{c}").alias(f"y_{c}") for c in side))
         tried = meet(met.select(*oriented("x_", "y_")), tried)
         labels = components(tried.filter("linked"), "a", "b")
+        rows, left, n = open_rows(labels)
 
-    rows = stored(open_rows(labels), "open")
-    x = rows.select("token", *(F.col(c).alias(f"x_{c}") for c in ("class", "n", "at", "component")))
-    y = rows.select("token", *(F.col(c).alias(f"y_{c}") for c in ("class", "n", "at", "component")))
-    met = x.join(y, "token").filter("x_component < y_component")
-    tried = meet(met.select(*oriented("x_", "y_")), tried)
+    x = rows.select("token", *(F.col(c).alias(f"x_{c}") for c in side))
+    y = rows.select("token", *(F.col(c).alias(f"y_{c}") for c in side))
+    tried = meet(x.join(y, "token").filter("x_component < y_component").select(*oriented("x_", "y_")), tried)
     labels = components(tried.filter("linked"), "a", "b")
 
     classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("class_size"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthlake.llm import decontamination, jaccard_join, quality, sharding, url_filters
+from berthlake.llm import decontamination, jaccard_join, mixing, quality, sharding, url_filters
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "n_tokens", "epoch", "block", "mix_order")
+
+
+OP2_SQL = f"""
+WITH sized AS (SELECT doc_id, source, coalesce(source, '') AS s,
+    greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1) AS n_tokens FROM documents),
+stats AS (SELECT s, sum(n_tokens)::BIGINT AS tokens FROM sized GROUP BY s),
+-- repeats of two sources differ by (share / share) ** (1 - exponent), so the limit has a closed form
+power AS (SELECT greatest(0, 1 - coalesce(ln({mixing.MAX_REPEATS}) / nullif(ln(max(tokens)::DOUBLE / min(tokens)), 0), 1)) AS a FROM stats),
+weighted AS (SELECT s, tokens, pow(tokens, a) / sum(pow(tokens, a)) OVER () AS weight FROM stats, power),
+budgets AS (SELECT *, sum(budget) OVER () AS whole FROM (
+  SELECT s, tokens, floor(weight * (max(tokens / weight) OVER ()) + 0.5)::BIGINT AS budget FROM weighted)),
+epochs AS (SELECT d.*, tokens, budget, greatest(ceil(whole / {mixing.BLOCK_TOKENS}), 1)::BIGINT AS blocks,
+    budget // tokens AS f, budget % tokens AS rest,
+    ('0x' || substr(md5(concat('mix:', budget // tokens, ':', doc_id)), 1, 13))::BIGINT AS u FROM sized d JOIN budgets USING (s)),
+placed AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY s ORDER BY u, doc_id, n_tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM epochs),
+taken AS (SELECT *, unnest(generate_series(0, f - 1 + (before < rest)::INT)) AS epoch FROM placed),
+blocked AS (SELECT *, least(floor((epoch + ('0x' || substr(md5(concat('mix:', epoch, ':', doc_id)), 1, 13))::BIGINT / pow(2, 52))
+    * tokens / budget * blocks)::BIGINT, blocks - 1) AS block FROM taken)
+SELECT doc_id, source, n_tokens::BIGINT AS n_tokens, epoch, block,
+  ('0x' || substr(md5(concat('mix:', block, ':', epoch, ':', doc_id)), 1, 13))::BIGINT AS mix_order FROM blocked
+"""
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.scan(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"),
@@ -69,6 +96,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op2_temperature_mixing": op2_temperature_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_jump_sharding": op6_jump_sharding,
@@ -77,5 +105,6 @@ QUERIES: dict[str, Run] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_temperature_mixing": OP2_SQL,
     "op7_url_filters": OP7_SQL,
 }
