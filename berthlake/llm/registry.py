@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthlake.llm import decontamination, jaccard_join, mixing, quality, sharding, suffix_dedup, url_filters
+from berthlake.llm import decontamination, html_extraction, jaccard_join, mixing, quality, sharding, suffix_dedup, url_filters
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +95,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("_row.doc_id").alias("doc_id"), *quality.COUNTS, "base_failed", "kept", "quality_score")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep=["page_id", "url"])
+    return texts.select("_row.page_id", "_row.url", F.col("main_text").alias("text"), F.length("main_text").cast("bigint").alias("n_chars"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     return cut.select(F.col("_row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -107,6 +112,7 @@ QUERIES: dict[str, Run] = {
     "op6_jump_sharding": op6_jump_sharding,
     "op7_url_filters": op7_url_filters,
     "op8_quality_rules": op8_quality_rules,
+    "op9_html_extraction": op9_html_extraction,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
