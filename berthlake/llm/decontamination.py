@@ -121,8 +121,7 @@ def numbered(texts: pa.Array) -> tuple[np.ndarray, arrays.Words]:
 
 def build(block: pa.Table, window: int) -> tuple[np.ndarray, Automaton, int]:
     """Sorted hashes of the block's words, its automaton, and the fewest words of any of its windows."""
-    texts = block["text"].combine_chunks()
-    hashes, found = numbered(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
+    hashes, found = numbered(arrays.one_chunk(block["text"]))
     vocabulary = np.unique(hashes)
     numbers, bounds = np.searchsorted(vocabulary, hashes).tolist(), found.bounds.tolist()
     items = [(name, numbers[a:b]) for name, a, b in zip(block["item"].to_pylist(), bounds, bounds[1:]) if b > a]

@@ -15,7 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from berthlake.llm import arrays
 
@@ -106,13 +106,11 @@ def feature_slots(data: np.ndarray, offsets: np.ndarray, found: arrays.Words, ha
     codes = data.astype(np.uint32)
     codes = codes[:-3] | (codes[1:-2] << 8) | (codes[2:-1] << 16) | (codes[3:] << 24)
     slots = ((codes * np.uint32(2654435769)) >> np.uint32(32 - TABLE_BITS)).astype(np.int64)
-    ends = np.maximum(offsets[1:] - 3, offsets[:-1])
     keep = np.ones(len(codes), bool)
     for k in range(3):
         at = offsets[1:-1] - 1 - k
         keep[at[(at >= 0) & (at < len(keep))]] = False
     at = np.flatnonzero(keep)
-    del ends
     yield slots[at] + (2 << TABLE_BITS), np.searchsorted(at, offsets)
 
 
@@ -127,33 +125,34 @@ def probability(model: Model, margin: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(model.slope * margin + model.shift, -500, 500)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, among: Column | None = None) -> DataFrame:
-    """At most SAMPLE_ROWS labelled (text, label) rows, those with the lowest digests of their ids."""
-    rows = labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_label"))
-    rows = rows.filter(F.col("_label").isin(0, 1) & F.col("_id").isNotNull())
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, value: int | None = None, among: Column | None = None,
+                    rows: int = SAMPLE_ROWS) -> pa.Table:
+    """At most ``rows`` labelled (text, label) rows and SAMPLE_BYTES bytes: those with the lowest digests of their ids."""
+    ids = labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_label"))
+    ids = ids.filter(F.col("_label").isin(0, 1) & F.col("_id").isNotNull())
     if among is not None:
-        rows = rows.filter(among)
+        ids = ids.filter(among)
     # one label per document, the larger if there are several
-    rows = rows.groupBy("_id").agg(F.max("_label").alias("_label"))
-    rows = rows.withColumn("_order", F.md5(F.col("_id").cast("string"))).orderBy("_order", "_id").limit(SAMPLE_ROWS)
+    ids = ids.groupBy("_id").agg(F.max("_label").alias("_label"))
+    if value is not None:
+        ids = ids.filter(F.col("_label") == value)
+    ids = ids.withColumn("_order", F.md5(F.col("_id").cast("string"))).orderBy("_order", "_id").limit(rows)
     texts = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # the left side has SAMPLE_ROWS rows at most, so it may be sent to all tasks
-    return texts.join(F.broadcast(rows), "_id").select("text", F.col("_label").alias("label"), "_order")
+    # the right side has ``rows`` rows at most, so it may be sent to all tasks; texts of one id beyond one count once
+    found = texts.join(F.broadcast(ids), "_id").groupBy("_id", "_label", "_order").agg(F.min("text").alias("text"))
+    size = F.sum(F.octet_length("text")).over(Window.orderBy("_order", "_id"))
+    found = found.withColumn("_sum", size).filter(F.col("_sum") <= SAMPLE_BYTES).orderBy("_order", "_id")
+    return found.select("text", F.col("_label").alias("label")).toArrow().combine_chunks()
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample: three quarters for the weights, one quarter for the calibration."""
-    rows = labelled_sample(docs, labels, "quality")
-    size = F.sum(F.octet_length("text"))
-    # a running total in digest order keeps the driver's share bounded even if all texts are huge
-    from pyspark.sql import Window
-    rows = rows.withColumn("_sum", size.over(Window.orderBy("_order", "text"))).filter(F.col("_sum") <= SAMPLE_BYTES)
-    sample = rows.orderBy("_order", "text").select("text", "label").toArrow().combine_chunks()
+    sample = labelled_sample(docs, labels, "quality")
     y = np.array(sample["label"].to_pylist(), np.float64)
     empty = Model(np.zeros(3 << TABLE_BITS, np.float32), 0.0, 0.0, 20.0)
     if len(y) < 20 or y.min() == y.max():
         return empty
-    texts = sample["text"].combine_chunks() if isinstance(sample["text"], pa.ChunkedArray) else sample["text"]
+    texts = arrays.one_chunk(sample["text"])
     rows_, slots_, values_ = [], [], []
     for first, end, data, offsets in arrays.slices(texts):
         data = arrays.LOWER[data]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthlake.llm import decontamination, html_extraction, jaccard_join, mixing, quality, sharding, suffix_dedup, url_filters
+from berthlake.llm import decontamination, html_extraction, jaccard_join, mixing, quality, sharding, suffix_dedup, toxicity, url_filters
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,16 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", F.col("class").alias("class_id"), "class_size")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def fold(doc_id: str):
+        return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tagged = toxicity.tag(docs, table(spark, sf_dir, "labels"), among=fold("_id") != 0, keep=["doc_id"], spans=False)
+    return tagged.select("_row.doc_id", F.col("toxicity").alias("score"), "n_toxic_words").withColumns({
+        "held_out": fold("doc_id") == 0, "predicted": (F.col("score") >= 0.5).cast("int")})
+
+
 def op6_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -109,6 +119,7 @@ QUERIES: dict[str, Run] = {
     "op2_temperature_mixing": op2_temperature_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_toxicity": op5_toxicity,
     "op6_jump_sharding": op6_jump_sharding,
     "op7_url_filters": op7_url_filters,
     "op8_quality_rules": op8_quality_rules,
