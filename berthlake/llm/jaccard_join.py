@@ -36,7 +36,7 @@ PERCENT = 75
 FREQUENT_SHINGLES = 200_000  # bound of the list of frequent shingles that every task gets: 3.2 MB
 FREQUENT_FROM = 8            # sightings from which a shingle is put on it
 COUNT_CHUNK = 2_000_000      # shingles counted at once
-PAIRS_PER_ROW = 1            # further pivots are taken while more pairs than this are left and each round halves them
+PAIRS_PER_ROW = 1000          # further pivots are taken while more pairs than this are left and each round halves them
 FILTER_BITS = 1 << 22        # of the bitmap that thins out texts before they are shuffled: 512 kB
 SUFFIX_CELLS = 32
 
@@ -162,16 +162,25 @@ def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ---- pairs ----
 
-def possible(pairs: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs of (a, b, n_a, n_b, at_a, at_b), one row per common prefix shingle, that pass two filters.
+def possible(pairs: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """The distinct pairs of (a, b, n_a, n_b, at_a, at_b), one row per common prefix shingle, that can link.
 
-    Nothing before the first common shingle is common, so there the rest of both sets must hold the whole overlap:
-    percent / (100 + percent) of the sum of the sizes at least. Later common shingles have less room.
+    Linked sets have an overlap of percent / (100 + percent) of the sum of their sizes at least. So few shingles of
+    a prefix are not common that both prefixes share a certain number k of them. The i-th common shingle has i - 1
+    common ones before it, and the rest of both sets must hold the others. Half of k are asked for, with the room that
+    these must have; rows that do not have it are dropped before they are grouped. With ``whole`` the rows hold all
+    common shingles of a pair; if not, half of that number will do.
     """
     length = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    position = room * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    return pairs.filter(length & position).select("a", "b").distinct()
+    overlap = F.expr(f"(({percent} * (n_a + n_b)) + {99 + percent}) div {100 + percent}")
+
+    def surely(n: str):  # common shingles in the prefix
+        return F.expr(f"{n} - ({percent} * {n} + 99) div 100 + 1") - (F.col(n) - overlap)
+
+    asked = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.least(surely("n_a"), surely("n_b")) / 2))
+    room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= overlap - asked + 1
+    grouped = pairs.filter(length & room).groupBy("a", "b", asked.alias("asked")).agg(F.count(F.lit(1)).alias("met"))
+    return grouped.filter(F.col("met") >= (F.col("asked") if whole else F.col("asked") / 2)).select("a", "b")
 
 
 def oriented(x: str, y: str) -> list[Column]:
@@ -286,9 +295,9 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id
     shared = stored(rows.mapInArrow(
         shared_only, "token bigint, class bigint, n int, at int, pivot bigint, pivot_n int, pivot_at int"), "shared")
 
-    def meet(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+    def meet(pairs: DataFrame, known: DataFrame | None, whole: bool = False) -> DataFrame:
         """All pairs tried so far, with ``linked`` true for those that link."""
-        pairs = possible(pairs, percent)
+        pairs = possible(pairs, percent, whole)
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -330,7 +339,7 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id
 
     x = rows.select("token", *(F.col(c).alias(f"x_{c}") for c in side))
     y = rows.select("token", *(F.col(c).alias(f"y_{c}") for c in side))
-    tried = meet(x.join(y, "token").filter("x_component < y_component").select(*oriented("x_", "y_")), tried)
+    tried = meet(x.join(y, "token").filter("x_component < y_component").select(*oriented("x_", "y_")), tried, whole=True)
     labels = components(tried.filter("linked"), "a", "b")
 
     classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("class_size"))

@@ -12,26 +12,33 @@ import numpy as np
 from berthlake.llm import arrays
 
 
-def _grouped(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _grouped(chars: np.ndarray, letters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Stable order by character, each entry's number in its group, the groups' characters and sizes."""
-    order = np.argsort(chars, kind="stable")
-    kinds, first, sizes = np.unique(chars[order], return_index=True, return_counts=True)
-    return order, np.arange(len(chars)) - np.repeat(first, sizes), kinds, sizes
+    order = np.argsort(chars, kind="stable")  # a radix sort, as characters have 16 bits
+    sizes = np.bincount(chars, minlength=letters)
+    kinds = np.flatnonzero(sizes)
+    sizes = sizes[kinds]
+    return order, np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes), kinds, sizes
 
 
 def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The suffix array induced from LMS suffixes in the given order; text ends with a single 0, the smallest character."""
     n = len(text)
     sa = np.full(n, -1, np.int64)
-    order, number, kinds, sizes = _grouped(text[lms])
+    order, number, kinds, sizes = _grouped(text[lms], len(starts))
     seeds = np.zeros(len(starts), np.int64)
     seeds[kinds] = sizes
     sa[(ends - seeds)[text[lms][order]] + number] = lms[order]
 
     def put(found: np.ndarray, at: np.ndarray, step: int) -> None:
         chars = text[found]
-        order, number, kinds, sizes = _grouped(chars)
-        base = at[chars[order]]
+        if len(found) == 1:
+            c = chars[0]
+            sa[at[c] if step > 0 else at[c] - 1] = found[0]
+            at[c] += step
+            return
+        order, number, kinds, sizes = _grouped(chars, len(starts))
+        base = np.repeat(at[kinds], sizes)
         sa[base + number if step > 0 else base - 1 - number] = found[order]
         at[kinds] += step * sizes
 
@@ -82,7 +89,7 @@ def _by_doubling(names: np.ndarray) -> np.ndarray:
         later = np.zeros(n, np.int64)
         later[: max(n - step, 0)] = rank[step:] + 1
         key = rank * (n + 2) + later
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = np.empty(n, np.int64)
         fresh[order] = np.cumsum(np.concatenate([[0], (np.diff(key[order]) != 0).astype(np.int64)]))
         rank = fresh
@@ -93,11 +100,11 @@ def _by_doubling(names: np.ndarray) -> np.ndarray:
 
 def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
     """Positions of the sorted suffixes of a text over 1 to ``letters``; a final 0 is added and its suffix left out."""
-    text = np.append(text.astype(np.int64), 0)
+    text = np.append(text, 0).astype(np.uint16)
     n = len(text)
     if n < 3:
         return np.arange(n - 1)
-    change = np.sign(np.diff(text))
+    change = np.diff(text.astype(np.int32))
     decided = np.where(change != 0, np.arange(n - 1), n)
     decided = np.minimum.accumulate(decided[::-1])[::-1]
     small = np.ones(n, bool)
@@ -134,29 +141,20 @@ def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
 def repeated_starts(data: np.ndarray, size: int) -> np.ndarray:
     """True at each position whose next ``size`` bytes also start elsewhere in ``data``.
 
-    The common prefix of a suffix with its predecessor in the suffix array is kept by text position (permuted), and
-    measured by halving steps on span hashes up to ``size``.
+    The predecessor of each suffix in the suffix array is kept by text position (permuted), and the prefix that both have in
+    common is compared with ``size`` in text order, on span hashes.
     """
     n = len(data)
     out = np.zeros(n, bool)
     if n <= size:
         return out
-    sa = suffix_array(data.astype(np.int64) + 1, 256)
+    sa = suffix_array(data.astype(np.uint16) + np.uint16(1), 256)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
     sums = arrays.prefix_sums(data)
-    at = np.flatnonzero(before >= 0)
+    at = np.flatnonzero((before[: n - size + 1] >= 0) & (before[: n - size + 1] <= n - size))
     other = before[at]
-    common = np.zeros(len(at), np.int64)
-    step = 1 << (size.bit_length() - 1)
-    while step:
-        i, j = at + common, other + common
-        fits = (i + step <= n) & (j + step <= n)
-        i, j = np.where(fits, i, 0), np.where(fits, j, 0)
-        same = fits & (arrays.span_hashes(sums, i, i + step) == arrays.span_hashes(sums, j, j + step))
-        common += step * same
-        step //= 2
-    hit = common >= size
+    hit = arrays.span_hashes(sums, at, at + size) == arrays.span_hashes(sums, other, other + size)
     out[at[hit]] = True
     out[other[hit]] = True
     return out
