@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthlake.llm import decontamination, html_extraction, jaccard_join, mixing, quality, sharding, suffix_dedup, toxicity, url_filters
+from berthlake.llm import decontamination, html_extraction, jaccard_join, mixing, pii, quality, sharding, suffix_dedup, toxicity, url_filters
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(pii.of_kind("pii_base", k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("pii_base")), 256).alias("base_sha256"),
+                        pii.joined(F.col("pii_spans")).alias("spans"))
+
+
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "source", "n_tokens", "epoch", "block", "mix_order")
@@ -116,6 +123,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op1_pii": op1_pii,
     "op2_temperature_mixing": op2_temperature_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
