@@ -1,11 +1,11 @@
 """Toxic spans and documents by a linear-chain conditional random field.
 
-The field tags each word as toxic or not from the word itself and its two neighbours (hashed), and from the tag before.
-Only documents are labelled, so words get their training tags from them: words that account for the toxic
-documents, each in turn the one that explains most of those not explained yet, are tagged where they stand in a toxic
-document; all other words are not toxic. The field is fitted to these tags by its exact gradient, on a bounded sample.
+The field tags each word as toxic or not from the word itself, its beginnings and its two neighbours (hashed), and from the
+tag before. Only documents are labelled, so words get their training tags from them: words that stand in many toxic
+documents and in hardly any clean one (copies counted once), or whose beginning does, are tagged where they stand in a
+toxic document; all others are not toxic. The field is fitted to these tags by its exact gradient, on a bounded sample.
 
-Forward-backward marginals give the chance of each word to be toxic. Their sum, their maximum and their share are
+Forward-backward marginals give the chance of each word to be toxic. Their sum and their maximum are
 calibrated into a score for the document; words above one half are the offending spans.
 
 Edge cases: null and empty texts have no words and the score of a text without toxic words; without labels of both kinds
@@ -26,37 +26,47 @@ from berthlake.llm.quality import FIRST_BYTE, labelled_sample, per_text
 
 SAMPLE_PER_LABEL = 1500  # labelled documents of each kind that words are counted in, at most
 FIELD_PER_LABEL = 300    # of these, documents that the field is fitted on
+LEXICON_SHARE = 0.015    # of the toxic documents that a telling word or beginning stands in, at least
 TABLE_BITS = 17
-ROUNDS = 25
+TABLES = 5
+BEGINNINGS = (5, 7)      # bytes of a word
+ROUNDS = 45
 
 
 class Model(NamedTuple):
-    tables: np.ndarray    # 3 x 2**TABLE_BITS: the word, the word before, the word after
+    tables: np.ndarray    # 5 x 2**TABLE_BITS: the word, its two beginnings, the word before, the word after
     bias: float
     jumps: np.ndarray     # 2 x 2 log weights from tag to tag
-    score: np.ndarray     # calibration: constant, log of the expected toxic words, highest marginal, their share
+    score: np.ndarray     # calibration: constant, log of the expected toxic words, highest marginal
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, arrays.Words]:
+    """Hashes of each word and of its beginnings (one row each)."""
     low = arrays.LOWER[data]
     found = arrays.words(low, offsets, arrays.LETTERS)
-    return arrays.word_hashes(low, found), found
+    sums = arrays.prefix_sums(low)
+    rows = [arrays.span_hashes(sums, found.starts, found.ends)]
+    for n in BEGINNINGS:
+        rows.append(arrays.mix(arrays.span_hashes(sums, found.starts, np.minimum(found.starts + n, found.ends)) + np.uint64(n)))
+    return np.stack(rows), found
 
 
 def slots(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Table slots of each word and its neighbours; 0 stands for no neighbour."""
+    """Table slots of each word, its beginnings and its neighbours; 0 stands for no neighbour."""
     own = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-    before, after = np.roll(own, 1), np.roll(own, -1)
-    inner = bounds[(bounds > 0) & (bounds < len(own))]
+    before, after = np.roll(own[0], 1), np.roll(own[0], -1)
+    inner = bounds[(bounds > 0) & (bounds < len(before))]
     before[inner], after[inner - 1] = 0, 0
-    if len(own):
+    if len(before):
         before[0] = after[-1] = 0
-    return np.stack([own, before, after])
+    return np.concatenate([own, before[None], after[None]])
 
 
 def emissions(model: Model, at: np.ndarray) -> np.ndarray:
-    size = 1 << TABLE_BITS
-    return model.bias + model.tables[at[0]] + model.tables[size + at[1]] + model.tables[2 * size + at[2]]
+    out = np.full(at.shape[1], model.bias)
+    for k, row in enumerate(at):
+        out += model.tables[(k << TABLE_BITS) + row]
+    return out
 
 
 def chains(emission: np.ndarray, bounds: np.ndarray, jumps: np.ndarray, pairs: bool = False):
@@ -104,40 +114,40 @@ def chains(emission: np.ndarray, bounds: np.ndarray, jumps: np.ndarray, pairs: b
     return (out, expected) if pairs else out
 
 
+def without_copies(texts: pa.Array) -> np.ndarray:
+    """Numbers of texts that are no near copies of earlier ones: no equal lowest shingle hash under four mixings."""
+    seen: set[tuple[int, int]] = set()
+    kept = []
+    for first, end, data, offsets in arrays.slices(texts):
+        for i, members in enumerate(arrays.shingle_sets(data, offsets)):
+            marks = {(k, int(arrays.mix(members + np.uint64(k)).min())) for k in range(4)} if len(members) else {(9, 0)}
+            if not marks & seen:
+                kept.append(first + i)
+            seen |= marks
+    return np.array(kept, np.int64)
+
+
 def telling_words(words: np.ndarray, owner: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Hashes of words that account for the toxic documents, chosen one after the other."""
+    """Hashes of words that stand in many toxic documents and in few clean ones."""
     kinds, word = np.unique(words, return_inverse=True)
     cells = np.unique(word.astype(np.int64) * len(toxic) + owner)
     word, owner = cells // len(toxic), cells % len(toxic)
-    clean = np.bincount(word[~toxic[owner]], minlength=len(kinds)) / max(1, (~toxic).sum())
-    share = np.bincount(word[toxic[owner]], minlength=len(kinds)) / max(1, toxic.sum())
-    able = (share > 6 * clean)[word] & toxic[owner]
-    word, owner = word[able], owner[able]
-    order = np.argsort(word, kind="stable")
-    word, owner = word[order], owner[order]
-    edge = np.searchsorted(word, np.arange(len(kinds) + 1))
-    open_ = np.ones(len(toxic), bool)
-    least, chosen = max(3.0, 0.004 * toxic.sum()), []
-    while len(chosen) < 500:
-        gain = np.bincount(word, weights=open_[owner].astype(float), minlength=len(kinds)) if len(word) else np.zeros(1)
-        best = int(gain.argmax())
-        if gain[best] < least:
-            break
-        chosen.append(best)
-        open_[owner[edge[best]: edge[best + 1]]] = False
-    return kinds[chosen]
+    clean = np.bincount(word[~toxic[owner]], minlength=len(kinds))
+    bad = np.bincount(word[toxic[owner]], minlength=len(kinds))
+    enough = bad >= max(6.0, LEXICON_SHARE * toxic.sum())
+    return kinds[enough & (bad / max(1, toxic.sum()) > 6 * clean / max(1, (~toxic).sum()))]
 
 
 def fit(docs: DataFrame, labels: DataFrame, among: Column | None = None) -> Model:
     """``among`` says which rows of the labels (id in ``_id``) may be learned from."""
     parts = [labelled_sample(docs, labels, "toxic", v, among, SAMPLE_PER_LABEL) for v in (1, 0)]
-    none = Model(np.zeros(3 << TABLE_BITS, np.float32), 0.0, np.zeros((2, 2)), np.array([-30.0, 0, 0, 0]))
+    none = Model(np.zeros(TABLES << TABLE_BITS, np.float32), 0.0, np.zeros((2, 2)), np.array([-30.0, 0, 0]))
     if not all(len(p) for p in parts):
         return none
     kept = []
     for p in parts:  # copies would count their words as often as there are copies
         texts = arrays.one_chunk(p["text"])
-        kept.append(texts.take(pa.array(sorted(np.unique([hash(t) for t in texts.to_pylist()], return_index=True)[1]))))
+        kept.append(texts.take(pa.array(without_copies(texts))))
     toxic = np.repeat([True, False], [len(k) for k in kept])
     # toxic and clean documents in turn, so that any leading part has both
     turn = np.argsort(np.concatenate([np.arange(len(k)) / len(k) for k in kept]), kind="stable")
@@ -145,13 +155,14 @@ def fit(docs: DataFrame, labels: DataFrame, among: Column | None = None) -> Mode
     data, offsets = arrays.buffer(texts)
     hashes, found = tokens(data, offsets)
     owner = np.repeat(np.arange(len(toxic)), np.diff(found.bounds))
-    lexicon = telling_words(hashes, owner, toxic)
-    tag = np.isin(hashes, lexicon) & toxic[owner]
+    tag = np.zeros(len(owner), bool)
+    for units in hashes:
+        tag |= np.isin(units, telling_words(units, owner, toxic)) & toxic[owner]
     number = np.where(toxic, np.cumsum(toxic), np.cumsum(~toxic))
     used = number <= np.minimum(FIELD_PER_LABEL, np.where(toxic, toxic.sum(), (~toxic).sum()) * 3 // 4)
     mine = np.flatnonzero(used[owner])
     bounds = np.concatenate([[0], np.cumsum(np.diff(found.bounds)[used])])
-    model = field(slots(hashes[mine], bounds), bounds, tag[mine])
+    model = field(slots(hashes[:, mine], bounds), bounds, tag[mine])
     marginal = chains(emissions(model, slots(hashes, found.bounds)), found.bounds, model.jumps)
     x = evidence(marginal, found.bounds)
     prior = labels.filter(F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
@@ -159,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, among: Column | None = None) -> Mode
     w = np.zeros(x.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        ridge = np.diag([1e-3, 1e-2, 1e-2, 1e-2])
+        ridge = np.diag([1e-3, 1e-2, 1e-2])
         w -= np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + ridge, x.T @ (weight * (p - toxic)) + ridge @ w)
     return model._replace(score=w)
 
@@ -167,20 +178,20 @@ def fit(docs: DataFrame, labels: DataFrame, among: Column | None = None) -> Mode
 def field(at: np.ndarray, bounds: np.ndarray, tag: np.ndarray) -> Model:
     """AdaGrad on the exact gradient of the chains' log likelihood, with a ridge."""
     size = 1 << TABLE_BITS
-    model = Model(np.zeros(3 * size), -2.0, np.zeros((2, 2)), np.zeros(4))
+    model = Model(np.zeros(TABLES * size), -2.0, np.zeros((2, 2)), np.zeros(3))
     starts = np.zeros(len(tag) + 1, bool)
     starts[bounds] = True
     step = ~starts[1: len(tag)]
     seen = np.zeros((2, 2))
     np.add.at(seen, (tag[:-1][step].astype(int), tag[1:][step].astype(int)), 1)
-    squares, jump_squares, bias_square = np.full(3 * size, 1e-6), np.full((2, 2), 1e-6), 1e-6
+    squares, jump_squares, bias_square = np.full(TABLES * size, 1e-6), np.full((2, 2), 1e-6), 1e-6
     for _ in range(ROUNDS):
         marginal, expected = chains(emissions(model, at), bounds, model.jumps, pairs=True)
         error = tag - marginal
-        up = np.concatenate([np.bincount(a, weights=error, minlength=size) for a in at]) - 0.05 * model.tables
+        up = np.concatenate([np.bincount(a, weights=error, minlength=size) for a in at]) - 0.002 * model.tables
         squares += up * up
-        tables = model.tables + 0.7 * up / np.sqrt(squares)
-        jump = seen - expected - 0.05 * model.jumps
+        tables = model.tables + 2.5 * up / np.sqrt(squares)
+        jump = seen - expected - 0.002 * model.jumps
         jump_squares += jump * jump
         bias_square += error.sum() ** 2
         model = model._replace(
@@ -189,14 +200,14 @@ def field(at: np.ndarray, bounds: np.ndarray, tag: np.ndarray) -> Model:
 
 
 def evidence(marginal: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Per text: 1, log of the expected toxic words, highest marginal, their share."""
+    """Per text: 1, log of the expected toxic words, highest marginal."""
     n = np.diff(bounds)
     total = per_text(marginal, bounds)
     highest = np.zeros(len(n))
     if len(marginal):
         filled = n > 0
         highest[filled] = np.maximum.reduceat(marginal, bounds[:-1][filled])
-    return np.stack([np.ones(len(n)), np.log(np.maximum(total, 0) + 0.05), highest, total / np.maximum(n, 1)], axis=1)
+    return np.stack([np.ones(len(n)), np.log(np.maximum(total, 0) + 0.2), highest], axis=1)
 
 
 def tag_batches(model: Model, spans: bool):
