@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from berthlake.llm import arrays
 from berthlake.llm.components import components
@@ -168,8 +168,9 @@ def possible(pairs: DataFrame, percent: int, whole: bool) -> DataFrame:
     Linked sets have an overlap of percent / (100 + percent) of the sum of their sizes at least. So few shingles of
     a prefix are not common that both prefixes share a certain number k of them. The i-th common shingle has i - 1
     common ones before it, and the rest of both sets must hold the others. Half of k are asked for, with the room that
-    these must have; rows that do not have it are dropped before they are grouped. With ``whole`` the rows hold all
-    common shingles of a pair; if not, half of that number will do.
+    these must have; rows that do not have it are dropped before they are grouped. Where a pair's rows may be incomplete,
+    half of that number will do. With ``whole`` they are complete and their places leave out what is common with nobody,
+    so the room at the first common shingle decides.
     """
     length = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     overlap = F.expr(f"(({percent} * (n_a + n_b)) + {99 + percent}) div {100 + percent}")
@@ -177,10 +178,12 @@ def possible(pairs: DataFrame, percent: int, whole: bool) -> DataFrame:
     def surely(n: str):  # common shingles in the prefix
         return F.expr(f"{n} - ({percent} * {n} + 99) div 100 + 1") - (F.col(n) - overlap)
 
-    asked = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.least(surely("n_a"), surely("n_b")) / 2))
+    asked = F.lit(1).cast("bigint")
+    if not whole:
+        asked = F.greatest(asked, F.ceil(F.least(surely("n_a"), surely("n_b")) / 2))
     room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= overlap - asked + 1
     grouped = pairs.filter(length & room).groupBy("a", "b", asked.alias("asked")).agg(F.count(F.lit(1)).alias("met"))
-    return grouped.filter(F.col("met") >= (F.col("asked") if whole else F.col("asked") / 2)).select("a", "b")
+    return grouped.filter(F.col("met") >= F.col("asked") / 2).select("a", "b")
 
 
 def oriented(x: str, y: str) -> list[Column]:
@@ -312,6 +315,9 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id
         """Shared rows with their component, of shingles that more than one component has; their pairs, and how many they are."""
         named = shared.select("token", "class", "n", "at").join(labels.withColumnRenamed("node", "class"), "class", "left")
         named = named.withColumn("component", F.coalesce("component", "class"))
+        # prefix shingles that no other class has leave no room behind a row either: its place counts them as passed
+        behind = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("at")))
+        named = named.withColumn("at", F.expr(f"n - ({percent} * n + 99) div 100 + 1").cast("int") - behind)
         groups = named.groupBy("token", "component").agg(F.count(F.lit(1)).alias("rows"))
         groups = groups.groupBy("token").agg(
             F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("rows"),
