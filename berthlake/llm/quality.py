@@ -153,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if len(y) < 20 or y.min() == y.max():
         return empty
     texts = arrays.one_chunk(sample["text"])
-    rows_, slots_, values_ = [], [], []
+    cells = []  # per slice of texts: (row, slot, value) of each filled cell, in narrow types
     for first, end, data, offsets in arrays.slices(texts):
         data = arrays.LOWER[data]
         found = arrays.words(data, offsets, arrays.NOT_BLANK)
@@ -161,27 +161,37 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         for slots, bounds in feature_slots(data, offsets, found, hashes):
             n = np.diff(bounds)
             owner = np.repeat(np.arange(first, end), n)
-            cells, counts = np.unique(owner * (3 << TABLE_BITS) + slots, return_counts=True)
-            rows_.append(cells // (3 << TABLE_BITS))
-            slots_.append(cells % (3 << TABLE_BITS))
-            values_.append(counts / n[rows_[-1] - first])
-    row, slot, value = np.concatenate(rows_), np.concatenate(slots_), np.concatenate(values_)
+            at, counts = np.unique(owner * (3 << TABLE_BITS) + slots, return_counts=True)
+            row, slot = np.divmod(at, 3 << TABLE_BITS)
+            cells.append((row.astype(np.int32), slot.astype(np.int32), (counts / n[row - first]).astype(np.float32)))
     fitted = np.arange(len(y)) % 4 != 3
-    weights, bias = logistic(row, slot, value, y, fitted)
-    margin = bias + np.bincount(row, weights[slot] * value, len(y))
+    weights, bias = logistic(cells, y, fitted)
+    margin = sample_margins(cells, weights, bias, len(y))
     slope, shift = platt(margin[~fitted], y[~fitted]) if len(set(y[~fitted])) == 2 else (1.0, 0.0)
     return Model(weights.astype(np.float32), float(bias), slope, shift)
 
 
-def logistic(row, slot, value, y, used, rounds: int = 120, rate: float = 0.5, ridge: float = 1e-6):
-    """Full-batch AdaGrad on sparse rows; both classes weigh the same."""
+def sample_margins(cells: list, weights: np.ndarray, bias: float, rows: int) -> np.ndarray:
+    margin = np.full(rows, bias)
+    for row, slot, value in cells:
+        if len(row):
+            low = int(row[0])  # rows ascend
+            part = np.bincount(row - low, weights[slot] * value)
+            margin[low: low + len(part)] += part
+    return margin
+
+
+def logistic(cells: list, y: np.ndarray, used: np.ndarray, rounds: int = 120, rate: float = 0.5, ridge: float = 1e-6):
+    """Full-batch AdaGrad on sparse rows, slice by slice; both classes weigh the same."""
     weights, bias = np.zeros(3 << TABLE_BITS), 0.0
     squares, bias_square = np.full(3 << TABLE_BITS, 1e-8), 1e-8
     share = np.where(y == 1, 0.5 / max(1, (used & (y == 1)).sum()), 0.5 / max(1, (used & (y == 0)).sum())) * used
     for _ in range(rounds):
-        margin = bias + np.bincount(row, weights[slot] * value, len(y))
+        margin = sample_margins(cells, weights, bias, len(y))
         error = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - y) * share
-        step = np.bincount(slot, error[row] * value, len(weights)) + ridge * weights
+        step = ridge * weights
+        for row, slot, value in cells:
+            step += np.bincount(slot, error[row] * value, len(weights))
         squares += step * step
         weights -= rate * step / np.sqrt(squares)
         bias_square += error.sum() ** 2
@@ -206,8 +216,7 @@ def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def judge_batches(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, outs = batch.column(0), []
-            for first, end, data, offsets in arrays.slices(text):
+            for first, end, data, offsets in arrays.slices(batch.column(0)):
                 found = arrays.words(data, offsets, arrays.NOT_BLANK)
                 sums = arrays.prefix_sums(data)
                 hashes = arrays.span_hashes(sums, found.starts, found.ends)
@@ -216,11 +225,10 @@ def judge_batches(model: Model):
                 score = probability(model, margins(model, low, offsets, found, arrays.word_hashes(low, found)))
                 failed = (counts["n_words"] < MIN_WORDS) | (
                     100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
-                outs.append(pa.RecordBatch.from_arrays(
+                yield pa.RecordBatch.from_arrays(
                     [*batch.slice(first, end - first).columns[1:], *(pa.array(counts[c], pa.int64()) for c in COUNTS),
                      pa.array(score), pa.array(failed), pa.array(~failed & (score >= KEEP))],
-                    names=[*batch.schema.names[1:], *COUNTS, "quality_score", "base_failed", "kept"]))
-            yield from outs
+                    names=[*batch.schema.names[1:], *COUNTS, "quality_score", "base_failed", "kept"])
 
     return run
 
