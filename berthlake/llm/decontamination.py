@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from berthlake.llm import arrays
@@ -205,22 +206,27 @@ def marker(shared, window: int, names: list[str]):
 
 
 def cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without their hit words (and what stands between two of them)."""
+    """Texts without their hit words (and what stands between two of them); texts without hits are handed on as they are."""
     for batch in batches:
-        texts = batch.column(0).to_pylist()
-        for i, hits in enumerate(batch.column(2).to_pylist()):
-            if hits:
-                found = numbered(pa.array([texts[i]]))[1]
-                hits = np.array(hits)
-                breaks = np.flatnonzero(np.diff(hits) > 1)
-                starts = found.starts[hits[np.concatenate([[0], breaks + 1])]].tolist()
-                ends = found.ends[hits[np.concatenate([breaks, [len(hits) - 1]])]].tolist()
-                raw, kept, at = texts[i].encode(), [], 0
-                for a, b in zip(starts, ends):
-                    kept.append(raw[at:a])
-                    at = b
-                texts[i] = (b"".join(kept) + raw[at:]).decode()
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(1)], names=["_clean", "_row"])
+        texts = batch.column(0)
+        hit = pc.greater(pc.list_value_length(batch.column(2)), 0)
+        if pc.any(hit).as_py():
+            clean = [without_hits(t, np.array(h)) for t, h in zip(texts.filter(hit).to_pylist(), batch.column(2).filter(hit).to_pylist())]
+            texts = pc.replace_with_mask(texts, hit, pa.array(clean, texts.type))
+        yield pa.RecordBatch.from_arrays([texts, batch.column(1)], names=["_clean", "_row"])
+    pa.default_memory_pool().release_unused()  # an idle worker stays beside the executor
+
+
+def without_hits(text: str, hits: np.ndarray) -> str:
+    found = numbered(pa.array([text]))[1]
+    breaks = np.flatnonzero(np.diff(hits) > 1)
+    starts = found.starts[hits[np.concatenate([[0], breaks + 1])]].tolist()
+    ends = found.ends[hits[np.concatenate([breaks, [len(hits) - 1]])]].tolist()
+    raw, kept, at = text.encode(), [], 0
+    for a, b in zip(starts, ends):
+        kept.append(raw[at:a])
+        at = b
+    return (b"".join(kept) + raw[at:]).decode()
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
