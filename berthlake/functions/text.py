@@ -33,6 +33,12 @@ def int_or_null(c: Column | str) -> Column:
     return F.when(digits.rlike("^[+-]?[0-9]+$"), digits.try_cast("int"))
 
 
+def zero_padded(c: Column | str, width: int) -> Column:
+    """Digits of a whole number with leading zeros up to ``width``; a longer number is never cut."""
+    digits = _col(c).cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+
+
 def double_or_null(c: Column | str) -> Column:
     return F.replace(_col(c), F.lit(","), F.lit("")).try_cast("double")
 

@@ -71,8 +71,7 @@ def bronze(sheets: DataFrame) -> DataFrame:
     )
     no = F.col("terminal_no").cast("string")
     number = F.col("_pos") + 1
-    # like '%04d': never cut a longer number
-    padded = F.when(number < 10000, F.lpad(number.cast("string"), 4, "0")).otherwise(number.cast("string"))
+    padded = text.zero_padded(number, 4)
     return exploded.select(
         "terminal_no",
         F.concat(F.lit("terminal_"), no).alias("terminal_id"),
@@ -88,7 +87,7 @@ def bronze(sheets: DataFrame) -> DataFrame:
         "file_hash",
         F.current_timestamp().alias("ingested_at"),
         F.col("snapshot_ts").alias("downloaded_at"),
-        F.concat_ws("_", F.lit("brz"), F.lpad(no, 2, "0"), F.col("_hour"), padded).alias("bronze_row_id"),
+        F.concat_ws("_", F.lit("brz"), text.zero_padded(no, 2), F.col("_hour"), padded).alias("bronze_row_id"),
         "names",
         F.col("_row.data").alias("values"),
     )

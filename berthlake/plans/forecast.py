@@ -88,7 +88,7 @@ def ridge_prediction(values: Column | None = None) -> Column:
 
 def ensemble(tree: Column, ridge: Column) -> Column:
     """Mean of both models, cut to a whole number, never negative."""
-    return F.greatest(F.lit(0), (tree * 0.5 + ridge * 0.5).cast("int"))
+    return F.greatest(F.lit(0).cast("bigint"), (tree * 0.5 + ridge * 0.5).cast("bigint"))
 
 
 def predict(rows: DataFrame, trees: PipelineModel) -> DataFrame:

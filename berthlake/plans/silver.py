@@ -165,12 +165,14 @@ def historical_silver(
         return F.when(has(c), F.coalesce(value, F.lit("nan"))) if missing_as_text else text.clean_token(value)
 
     def count_cell(c: str) -> Column:
-        number = F.coalesce(text.double_or_null(value_of(c)), F.lit(0.0)).cast("int")
+        # text that is no number, or one outside the integers (nan, inf, too many digits), counts as zero
+        value = text.double_or_null(value_of(c))
+        number = F.coalesce(F.when(F.abs(value) < 2.0**31, value).cast("int"), F.lit(0))
         return F.when(has(c), number).when(F.col("_work") >= 0, triple[c]).otherwise(0)
 
     no = F.col("terminal_no").cast("string")
     pos = F.col("_pos")
-    padded = F.when(pos < 100000, F.lpad(pos.cast("string"), 5, "0")).otherwise(pos.cast("string"))
+    padded = text.zero_padded(pos, 5)
     out = rows.withColumns({c: text_cell(c) for c in TEXT_COLUMNS}).withColumns(
         {
             "closing": bt.parse_ts(value_of("closing")),
@@ -178,7 +180,7 @@ def historical_silver(
             "terminal_id": F.concat(F.lit("terminal_"), no),
             "terminal_name": F.try_element_at(text.literal_map(fv.TERMINAL_NAMES), F.col("terminal_no")),
             "snapshot_id": F.concat_ws("_", F.lit("hist"), no, F.col("_year")),
-            "bronze_row_id": F.concat_ws("_", F.lit("hist"), F.lpad(no, 2, "0"), F.col("_year"), padded),
+            "bronze_row_id": F.concat_ws("_", F.lit("hist"), text.zero_padded(no, 2), F.col("_year"), padded),
             "source_file_name": F.col("file_name"),
             "source_row_number": (pos + 1).cast("string"),
             "parsed_at": (F.current_timestamp() if parsed_at is None else parsed_at).cast("timestamp_ntz"),

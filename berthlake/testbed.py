@@ -43,8 +43,8 @@ def silver_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("terminal_"), terminal_no.cast("string")).alias("terminal_id"),
         F.concat_ws("_", terminal_no.cast("string"), hour_text).alias("snapshot_id"),
         F.concat(
-            F.lit("brz_"), F.lpad(terminal_no.cast("string"), 2, "0"), F.lit("_"), hour_text,
-            F.lit("_"), F.lpad(e.cast("string"), 9, "0"),
+            F.lit("brz_"), text.zero_padded(terminal_no, 2), F.lit("_"), hour_text,
+            F.lit("_"), text.zero_padded(e, 9),
         ).alias("bronze_row_id"),
         F.concat(
             F.lit("terminal_"), terminal_no.cast("string"), F.lit("_schedule_"), hour_text,
@@ -99,7 +99,7 @@ silver0 AS (
   FROM events),
 silver1 AS (
   SELECT e, 'terminal_' || tno AS terminal_id, tno || '_' || hr AS snapshot_id,
-    'brz_' || lpad(tno::VARCHAR, 2, '0') || '_' || hr || '_' || lpad(e::VARCHAR, 9, '0') AS bronze_row_id,
+    'brz_' || printf('%02d', tno) || '_' || hr || '_' || printf('%09d', e) AS bronze_row_id,
     'terminal_' || tno || '_schedule_' || hr || '.xls' AS source_file_name,
     e::VARCHAR AS source_row_number,
     ts AS parsed_at, ts AS snapshot_ts,
@@ -185,7 +185,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(order % 71 == 0, "canceled").otherwise("DONE").alias("status"),
         (order % 61 != 0).alias("is_valid"),
         F.concat_ws("_", (supp % 7 + 1).cast("string"), F.date_format(etd, "yyyyMMdd_HH")).alias("snapshot_id"),
-        F.concat_ws("_", F.lpad(order.cast("string"), 12, "0"), line.cast("string")).alias("bronze_row_id"),
+        F.concat_ws("_", text.zero_padded(order, 12), line.cast("string")).alias("bronze_row_id"),
     )
 
 
@@ -204,7 +204,7 @@ calls AS (
     CASE WHEN l_orderkey % 71 = 0 THEN 'canceled' ELSE 'DONE' END AS status,
     l_orderkey % 61 <> 0 AS is_valid,
     (l_suppkey % 7 + 1) || '_' || strftime(etd, '%Y%m%d_%H') AS snapshot_id,
-    lpad(l_orderkey::VARCHAR, 12, '0') || '_' || l_linenumber AS bronze_row_id
+    printf('%012d', l_orderkey) || '_' || l_linenumber AS bronze_row_id
   FROM calls0)"""
 
 # ------------------------------------------------------------------ monthly container volumes

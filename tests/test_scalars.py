@@ -124,3 +124,21 @@ def test_history_sorts_before_live(spark):
     rows = [("hist_3_2024",), ("3_20240102_10",), ("odd",)]
     assert values(spark, "snapshot_id string", rows, gold.snapshot_time()) == [
         dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 10), None]
+
+
+def test_zero_padded_never_cuts(spark):
+    from pyspark.sql import functions as F
+
+    from berthlake.functions import text
+
+    rows = spark.createDataFrame([(7,), (123,), (12345678901,), (None,)], "n bigint")
+    assert [r[0] for r in rows.select(text.zero_padded(F.col("n"), 2)).collect()] == ["07", "123", "12345678901", None]
+
+
+def test_ensemble_beyond_integers(spark):
+    from pyspark.sql import functions as F
+
+    from berthlake.plans.forecast import ensemble
+
+    row = spark.range(1).select(ensemble(F.lit(3e9), F.lit(3e9)), ensemble(F.lit(-5.0), F.lit(1.0))).first()
+    assert tuple(row) == (3_000_000_000, 0)
