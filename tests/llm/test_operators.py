@@ -299,6 +299,30 @@ def test_pii(spark):
     assert pii.find(table(spark, [])).count() == 0
 
 
+def test_pii_adds_what_the_base_patterns_miss(spark):
+    r = random.Random(8)
+
+    def card():
+        d = [r.randrange(10) for _ in range(15)]
+        odd = sum(sum(divmod(2 * x, 10)) if i % 2 == 0 else x for i, x in enumerate(d))
+        return "".join(map(str, d)) + str(-odd % 10)
+
+    made = {
+        "email": lambda: f"{sentence(r, 1).replace('é', 'e')}.{r.randrange(99)}@mail{r.randrange(9)}.example.com",
+        "ip": lambda: ".".join(str(r.randrange(256)) for _ in range(4)),
+        "card": card, "phone": lambda: f"+1 ({r.randrange(200, 999)}) 555-{r.randrange(1000, 9999)}"}
+    learned = [f"{sentence(r, 5)} {m()} {sentence(r, 5)} Version 2.{r.randrange(9)} {sentence(r, 3)}" for m in made.values() for _ in range(40)]
+    planted = [("phone", "49 30 1234567"), ("phone", "(830) 555-5433"), ("email", "jane.roe [at] harbour [dot] org"), ("email", "jane.roe(at)harbour.org"),
+               ("ip", "10,0,0,1"), ("card", "4111/1111/1111/1111"), ("card", "4111.1111.1111.1111"), ("email", "a@b.c [dot] org")]
+    others = ["2019-05-17", "1999-2003", "isbn 978-3-16-148410-0", "token = 24be64439e3e49cf46b2d7", "4111/1111/1111/1112", "look at example.com", "300,1,2,3"]
+    texts = [f"abc {v} cab" for _, v in planted] + [f"abc {v} cab" for v in others]
+    model = pii.fit(table(spark, learned))
+    got = [r["pii_spans"] for r in pii.find(table(spark, texts), model).orderBy("doc_id").collect()]
+    for (kind, v), spans in zip(planted, got):
+        assert (kind, 4, 4 + len(v)) in {tuple(s) for s in spans}, v
+    assert got[len(planted):] == [[]] * len(others)
+
+
 def test_mixing(spark):
     rows = [(k, "w " * (1 + k % 5), "en", s, 0, "x") for s, n in (("big", 300), ("mid", 60), ("small", 20)) for k in range(n)] + [(1, None, None, None, 0, "x")] * 2
     docs = spark.createDataFrame(rows, SCHEMA)
