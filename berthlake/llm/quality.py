@@ -125,15 +125,19 @@ def probability(model: Model, margin: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(model.slope * margin + model.shift, -500, 500)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, value: int | None = None, among: Column | None = None,
-                    rows: int = SAMPLE_ROWS) -> pa.Table:
-    """At most ``rows`` labelled (text, label) rows and SAMPLE_BYTES bytes: those with the lowest digests of their ids."""
+def usable_labels(labels: DataFrame, label: str, among: Column | None = None) -> DataFrame:
+    """(_id, _label): one label, 0 or 1, per document, the larger if there are several; only of rows that may be learned from."""
     ids = labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_label"))
     ids = ids.filter(F.col("_label").isin(0, 1) & F.col("_id").isNotNull())
     if among is not None:
         ids = ids.filter(among)
-    # one label per document, the larger if there are several
-    ids = ids.groupBy("_id").agg(F.max("_label").alias("_label"))
+    return ids.groupBy("_id").agg(F.max("_label").alias("_label"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, value: int | None = None, among: Column | None = None,
+                    rows: int = SAMPLE_ROWS) -> pa.Table:
+    """At most ``rows`` labelled (text, label) rows and SAMPLE_BYTES bytes: those with the lowest digests of their ids."""
+    ids = usable_labels(labels, label, among)
     if value is not None:
         ids = ids.filter(F.col("_label") == value)
     ids = ids.withColumn("_order", F.md5(F.col("_id").cast("string"))).orderBy("_order", "_id").limit(rows)

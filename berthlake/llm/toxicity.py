@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from berthlake.llm import arrays
-from berthlake.llm.quality import FIRST_BYTE, labelled_sample, per_text
+from berthlake.llm.quality import FIRST_BYTE, labelled_sample, per_text, usable_labels
 
 SAMPLE_PER_LABEL = 1500  # labelled documents of each kind that words are counted in, at most
 FIELD_PER_LABEL = 300    # of these, documents that the field is fitted on
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, among: Column | None = None) -> Mode
     model = field(slots(hashes[:, mine], bounds), bounds, tag[mine])
     marginal = chains(emissions(model, slots(hashes, found.bounds)), found.bounds, model.jumps)
     x = evidence(marginal, found.bounds)
-    prior = labels.filter(F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
+    prior = usable_labels(labels, "toxic", among).agg(F.avg("_label")).first()[0]
     weight = np.where(toxic, prior / max(1, toxic.sum()), (1 - prior) / max(1, (~toxic).sum())) * len(toxic)
     w = np.zeros(x.shape[1])
     for _ in range(40):

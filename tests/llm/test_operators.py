@@ -229,6 +229,21 @@ def test_toxicity(spark):
     assert toxicity.tag(docs, labels.limit(0)).agg(F.max("toxicity")).first()[0] < 0.01
 
 
+def test_toxicity_learns_nothing_from_held_out_labels(spark):
+    r = random.Random(6)
+    clean = [sentence(r, 60) for _ in range(100)]
+    toxic = [" ".join(w if k % 23 else r.choice(["Vile!", "nasty"]) for k, w in enumerate(sentence(r, 60).split(), 1)) for _ in range(50)]
+    docs = table(spark, clean + toxic)
+    among = F.col("_id") % 5 != 0
+
+    def scores(held):
+        labels = [(i, 1, held if i % 5 == 0 else int(i >= 100)) for i in range(150)]
+        labels = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+        return {x["_row"]["doc_id"]: x["toxicity"] for x in toxicity.tag(docs, labels, among=among).collect()}
+
+    assert scores(0) == scores(1)
+
+
 def test_chain_marginals_equal_enumeration():
     from itertools import product
     r = np.random.default_rng(0)
