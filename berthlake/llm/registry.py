@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from berthlake.llm import decontamination, html_extraction, jaccard_join, mixing, pii, quality, sharding, suffix_dedup, toxicity, url_filters
+from berthlake.llm import (
+    alignment, decontamination, html_extraction, jaccard_join, mixing, pii, quality, sharding, spelling, suffix_dedup, token_counts, toxicity,
+    url_filters,
+)
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -122,6 +125,30 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("_row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file, the same on the driver and the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
+    counted = token_counts.count(docs, vocabulary("piece_bpe_32k.model"), keep=["doc_id", "n_bytes"])
+    return counted.select("_row.doc_id", "_row.n_bytes", "n_tokens", "over_limit")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.json"),
+                              vocabulary("piece_bpe_32k.model"), keep=["doc_id"])
+    return aligned.select("_row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Run] = {
     "op1_pii": op1_pii,
     "op2_temperature_mixing": op2_temperature_mixing,
@@ -133,6 +160,9 @@ QUERIES: dict[str, Run] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_token_counts": op11_token_counts,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {
