@@ -12,7 +12,8 @@ Two words are near if one inserted, deleted or replaced code point makes them eq
 3. Position limits: the edit lies right of the first pivot or left of the second one, as they are disjoint. In the first
    case both words are equal up to the pivot's end, in the second one from the pivot's start. So each pivot is met by an equi-join
    on that side of the word, which holds gram and place, against the same sides of the other words' prefix grams.
-4. Verification: lengths differ by one at most, the prefix ends in the right order, and the edit distance is one.
+4. Verification: lengths differ by one at most, the prefix ends in the right order, at most two letters are in one word
+   alone (by a bitmap of letters, which settles nearly all candidates), and the edit distance is one.
 
 A word's form is its near word of the largest count, if that is at least ``ratio`` times its own. Roots follow forms to the
 end by pointer doubling: counts rise by the ratio on the way, so few rounds are needed.
@@ -104,25 +105,34 @@ def pivots(prefix: list[tuple[int, int]], count: int) -> list[int]:
     return list(seen[count][1])
 
 
+def letters(word: str) -> int:
+    """Bitmap of the letters, as a signed integer; letters that share a bit make it coarser."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 63)
+    return bits - (bits >> 63 << 64)
+
+
 def sides(order: dict[str, int], weights: dict[str, int]):
-    """Batches of (word, n): prefix end, the sides of the two pivots, and the sides of all prefix grams."""
+    """Batches of (word, n): letters, prefix end, the sides of the two pivots, and the sides of all prefix grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends, chosen, offered = [], [], []
+            maps, ends, chosen, offered = [], [], [], []
             for word in batch.column(0).to_pylist():
                 grams = [word[k: k + GRAM] for k in range(len(word) - GRAM + 1)]
                 ranks = [order[g] for g in grams]
                 last = sorted(ranks)[GRAM * EDITS]
                 prefix = [(k, weights[g]) for k, (g, r) in enumerate(zip(grams, ranks)) if r <= last]
                 first, second = pivots(prefix, EDITS + 1)
+                maps.append(letters(word))
                 ends.append(last)
                 chosen.append(["<" + word[: first + GRAM], ">" + word[second:]])
                 offered.append([s for k, _ in prefix for s in ("<" + word[: k + GRAM], ">" + word[k:])])
             texts = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ends, pa.int32()), pa.array(chosen, texts), pa.array(offered, texts)],
-                names=["word", "n", "last", "pivots", "grams"])
+                [batch.column(0), batch.column(1), pa.array(maps, pa.int64()), pa.array(ends, pa.int32()), pa.array(chosen, texts), pa.array(offered, texts)],
+                names=["word", "n", "letters", "last", "pivots", "grams"])
 
     return run
 
@@ -134,10 +144,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
     rows = sorted((r["c"], r["gram"]) for r in grams.groupBy("gram").agg(F.count_distinct("word").alias("c")).collect())
     order = {gram: k for k, (_, gram) in enumerate(rows)}
     keyed = stored(words.mapInArrow(
-        sides(order, {gram: c for c, gram in rows}), "word string, n bigint, last int, pivots array<string>, grams array<string>"), "grams")
-    own = keyed.select(F.explode("pivots").alias("side"), "word", "n", "last")
-    others = keyed.select(F.explode("grams").alias("side"), F.col("word").alias("other"), F.col("n").alias("m"), F.col("last").alias("end"))
+        sides(order, {gram: c for c, gram in rows}), "word string, n bigint, letters bigint, last int, pivots array<string>, grams array<string>"), "grams")
+    own = keyed.select(F.explode("pivots").alias("side"), "word", "n", "letters", "last")
+    others = keyed.select(F.explode("grams").alias("side"), F.col("word").alias("other"), F.col("n").alias("m"),
+                          F.col("letters").alias("theirs"), F.col("last").alias("end"))
     met = own.join(others, (own["side"] == others["side"]) & (F.col("last") <= F.col("end"))
+                   & (F.bit_count(F.col("letters").bitwiseXOR(F.col("theirs"))) <= 2 * EDITS)
                    & (F.abs(F.length("word") - F.length("other")) <= EDITS) & (F.levenshtein("word", "other", EDITS) == EDITS))
     one, two = F.struct("word", "n"), F.struct(F.col("other").alias("word"), F.col("m").alias("n"))
     pairs = met.select(F.least(one, two).alias("x"), F.greatest(one, two).alias("y")).distinct()
