@@ -28,7 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, islice
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -44,6 +44,7 @@ BLOCK_PAIRS = 1 << 18
 FAN = 8  # fragments put together in one step of the tree
 HELD_UNITS = 1 << 18
 HELD_CHARS = 1 << 24
+LARGE_GROUP = 4096  # links of a group from which on equal ids are counted first
 BLANK = "▁"  # fixed value: the sign that B writes for a blank
 
 # a blank, and all that follows up to a blank behind a character other than white space
@@ -110,6 +111,70 @@ def whole(fragment: Fragment) -> Closed:
     return joined([group(*fragment.prefix), fragment.closed]) if fragment.cut else NOTHING
 
 
+class Grouped(NamedTuple):
+    """Groups of several segments of text: per segment the counts and the groups' text; the id pairs, and per segment and pair its links."""
+
+    counts: np.ndarray
+    texts: list[str]
+    pairs: np.ndarray
+    segments: np.ndarray
+    places: np.ndarray  # numbers of the pairs
+    times: np.ndarray
+
+
+@lru_cache(maxsize=1)
+def written(ids: int) -> tuple[list[str], np.ndarray]:
+    """Texts of the ids, followed by a comma, a bar or a semicolon, and their lengths."""
+    texts = [f"{k}{mark}" for k in range(ids) for mark in ",|;"]
+    return texts, np.fromiter(map(len, texts), np.int64, len(texts))
+
+
+def grouped(a: np.ndarray, ends_a: np.ndarray, b: np.ndarray, ends_b: np.ndarray, bounds: np.ndarray, ids: int) -> Grouped:
+    """Groups of the tokens up to each bound; bounds are common ends, and the last one is the end of all."""
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    of_a, of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+    n_a, n_b = np.bincount(of_a, minlength=len(cuts)), np.bincount(of_b, minlength=len(cuts))
+    first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+    segment = np.searchsorted(bounds, cuts)
+    counts = np.zeros((len(bounds), len(COUNTS)), np.int64)
+    for k, values in enumerate((n_a, n_b, np.ones(len(cuts), np.int64), n_a * n_b)):
+        sums = np.concatenate([[0], np.cumsum(values)])
+        at = np.searchsorted(segment, np.arange(len(bounds) + 1))
+        counts[:, k] = sums[at[1:]] - sums[at[:-1]]
+
+    large = n_a * n_b > LARGE_GROUP
+    own = np.flatnonzero(~large[of_a])
+    times = n_b[of_a[own]]
+    left = np.repeat(own, times)
+    right = np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times) + first_b[of_a[left]]
+    codes, segments, often = [a[left] << 32 | b[right]], [segment[of_a[left]]], [np.ones(len(left), np.int64)]
+    for k in np.flatnonzero(large).tolist():
+        links = group(a[first_a[k]: first_a[k] + n_a[k]].tolist(), b[first_b[k]: first_b[k] + n_b[k]].tolist()).links
+        codes.append(np.array(list(links), np.int64))
+        often.append(np.array(list(links.values()), np.int64))
+        segments.append(np.full(len(links), segment[k]))
+    pairs, places = np.unique(np.concatenate(codes), return_inverse=True)
+    keys, times = summed(np.concatenate(segments) * max(len(pairs), 1) + places, np.concatenate(often))
+
+    texts, lengths = written(ids)
+    flat = np.zeros(len(a) + len(b), np.int64)
+    flat[np.arange(len(a)) + first_b[of_a]] = a * 3 + (ends_a == cuts[of_a])
+    flat[np.arange(len(b)) + (first_a + n_a)[of_b]] = b * 3 + 2 * (ends_b == cuts[of_b])
+    text = "".join(map(texts.__getitem__, flat.tolist()))
+    ends = np.concatenate([[0], np.cumsum(lengths[flat])])[np.cumsum(counts[:, 0] + counts[:, 1])]
+    starts = np.concatenate([[0], ends[:-1]])
+    own_texts = [text[x: y - 1] if y > x else "" for x, y in zip(starts.tolist(), ends.tolist())]
+    return Grouped(counts, own_texts, pairs, keys // max(len(pairs), 1), keys % max(len(pairs), 1), times)
+
+
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[starts], np.add.reduceat(values[order], starts) if len(starts) else values
+
+
 class Tokenizers:
     """Both tokenizers, and the bytes of their ids."""
 
@@ -131,21 +196,23 @@ class Tokenizers:
             raise ValueError("a piece of B goes on over a blank, so texts cannot be cut there")
         self.bytes_b = [bytes([int(name[1:-1], 16)]) if self.b.is_byte(k) else name.replace(BLANK, " ").encode() for k, name in enumerate(names)]
         self.alone = self.b.piece_to_id(BLANK)
-
-    def encode(self, units: list[str]) -> Iterator[tuple[list[int], list[int], list[int], list[int]] | None]:
-        """Per unit: ids of A, their ends in bytes, ids of B, their ends; None if its bytes are not kept."""
-        ours = self.a.encode_batch_fast(units, add_special_tokens=False)
-        # B puts the blank in front by itself
-        theirs = self.b.encode([u[1:] for u in units], num_threads=1)
-        for unit, own, b in zip(units, ours, theirs):
-            a, raw = own.ids, unit.encode()
-            if unit == " ":
-                b = [self.alone]
-            parts_a, parts_b = [self.bytes_a[k] for k in a], [self.bytes_b[k] for k in b]
-            if b"".join(parts_a) == raw and b"".join(parts_b) == raw:
-                yield a, list(accumulate(map(len, parts_a))), b, list(accumulate(map(len, parts_b)))
-            else:
-                yield None
+        self.ids = max(max(self.bytes_a) + 1, len(names))
+        self.sizes_a = np.array([len(self.bytes_a.get(k, b"")) for k in range(self.ids)], np.int64)
+        self.sizes_b = np.array([len(x) for x in self.bytes_b], np.int64)
+
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A, their ends in bytes, ids of B, their ends, the units' ends, and which units keep their bytes; others have no tokens."""
+        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        b = self.b.encode([u[1:] for u in units], num_threads=1)  # B puts the blank in front by itself
+        b = [[self.alone] if u == " " else x for u, x in zip(units, b)]
+        raw = [u.encode() for u in units]
+        kept = np.ones(len(units), bool)
+        if not (b"".join(map(self.bytes_a.__getitem__, chain.from_iterable(a))) == b"".join(raw) == b"".join(map(self.bytes_b.__getitem__, chain.from_iterable(b)))):
+            kept = np.array([b"".join(map(self.bytes_a.__getitem__, x)) == u == b"".join(map(self.bytes_b.__getitem__, y)) for x, y, u in zip(a, b, raw)], bool)
+            a, b, raw = ([x if k else x[:0] for x, k in zip(xs, kept)] for xs in (a, b, raw))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+        return flat_a, np.cumsum(self.sizes_a[flat_a]), flat_b, np.cumsum(self.sizes_b[flat_b]), ends, kept
 
 
 @lru_cache(maxsize=1)
@@ -153,24 +220,19 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return Tokenizers(path_a, path_b)
 
 
-def fragment(a: list[int], ends_a: list[int], b: list[int], ends_b: list[int], low: int = -1, high: int | None = None) -> Fragment:
+def fragment(a: np.ndarray, ends_a: np.ndarray, b: np.ndarray, ends_b: np.ndarray, low: int, high: int, ids: int) -> Fragment:
     """The fragment of the tokens that end after ``low`` and up to ``high``."""
-    cuts = [x for x in sorted(set(ends_a).intersection(ends_b)) if x > low and (high is None or x <= high)]
-    i, j = sum(x <= low for x in ends_a), sum(x <= low for x in ends_b)
-    last_i = len(a) if high is None else sum(x <= high for x in ends_a)
-    last_j = len(b) if high is None else sum(x <= high for x in ends_b)
-    groups = []
-    for cut in cuts:
-        x, y = i, j
-        while i < last_i and ends_a[i] <= cut:
-            i += 1
-        while j < last_j and ends_b[j] <= cut:
-            j += 1
-        groups.append((a[x:i], b[y:j]))
-    rest = a[i:last_i], b[j:last_j]
-    if not groups:
-        return Fragment(False, rest, NOTHING, ([], []))
-    return Fragment(True, groups[0], joined([group(*g) for g in groups[1:]]), rest)
+    own_a, own_b = (ends_a > low) & (ends_a <= high), (ends_b > low) & (ends_b <= high)
+    a, ends_a, b, ends_b = a[own_a], ends_a[own_a], b[own_b], ends_b[own_b]
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    if not len(cuts):
+        return Fragment(False, (a.tolist(), b.tolist()), NOTHING, ([], []))
+    (a0, a1), (b0, b1) = (np.searchsorted(ends, [cuts[0], cuts[-1]], "right") for ends in (ends_a, ends_b))
+    closed = NOTHING
+    if len(cuts) > 1:
+        g = grouped(a[a0:a1], ends_a[a0:a1], b[b0:b1], ends_b[b0:b1], cuts[-1:], ids)
+        closed = Closed(*g.counts[0].tolist(), g.texts[0], Counter(dict(zip(g.pairs[g.places].tolist(), g.times.tolist()))))
+    return Fragment(True, (a[:a0].tolist(), b[:b0].tolist()), closed, (a[a1:].tolist(), b[b1:].tolist()))
 
 
 class Units(dict):
@@ -199,20 +261,17 @@ class Units(dict):
         """Groups of the units that are new since the last call."""
         if not self.fresh:
             return
-        counts, places, times, sizes = [], [], [], []
-        for tokens in self.both.encode(self.fresh):
-            closed = whole(fragment(*tokens)) if tokens else NOTHING
-            self.kept.append(tokens is not None)
-            self.texts.append(closed.text)
-            counts.append(closed[:4])
-            places += [self.pairs.setdefault(code, len(self.pairs)) for code in closed.links]
-            times += closed.links.values()
-            sizes.append(len(closed.links))
-        self.counts = np.concatenate([self.counts, np.array(counts, np.int64)])
+        *tokens, kept = self.both.encode(self.fresh)
+        found = grouped(*tokens, self.both.ids)
+        numbers = np.array([self.pairs.setdefault(code, len(self.pairs)) for code in found.pairs.tolist()], np.int64)
+        sizes = np.bincount(found.segments, minlength=len(self.fresh))
+        self.kept += kept.tolist()
+        self.texts += found.texts
+        self.counts = np.concatenate([self.counts, found.counts])
         self.firsts = np.concatenate([self.firsts, self.firsts[-1] + np.cumsum(sizes)])
-        self.places = np.concatenate([self.places, np.array(places, np.int64)])
+        self.places = np.concatenate([self.places, numbers[found.places]])
         self.codes = np.concatenate([self.codes, np.array(list(islice(self.pairs, len(self.codes), None)), np.int64)])
-        self.times = np.concatenate([self.times, np.array(times, np.int64)])
+        self.times = np.concatenate([self.times, found.times])
         self.fresh = []
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -237,12 +296,8 @@ class Units(dict):
         first, size = self.firsts[flat], self.firsts[flat + 1] - self.firsts[flat]
         at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
         span = max(len(self.codes), 1)
-        found = np.repeat(doc, size) * span + self.places[at]
-        order = np.argsort(found, kind="stable")
-        found, times = found[order], (self.times[at] * np.repeat(often, size))[order]
-        starts = np.flatnonzero(np.diff(found, prepend=-1))
-        times = np.add.reduceat(times, starts) if len(starts) else times
-        return counts, groups, found[starts] // span, self.codes[found[starts] % span], times
+        found, times = summed(np.repeat(doc, size) * span + self.places[at], self.times[at] * np.repeat(often, size))
+        return counts, groups, found // span, self.codes[found % span], times
 
 
 class Blocks:
@@ -372,18 +427,8 @@ def range_fragments(path_a: str, path_b: str):
         both = tokenizers(path_a, path_b)
         for batch in batches:
             for key, i, low, high, part in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                units = UNIT.findall(part)
-                ids_a, ends_a, ids_b, ends_b, at, kept = [], [], [], [], 0, True
-                for unit, tokens in zip(units, both.encode(units)):
-                    if tokens is None:
-                        kept = False
-                        break
-                    ids_a += tokens[0]
-                    ends_a += [at + e for e in tokens[1]]
-                    ids_b += tokens[2]
-                    ends_b += [at + e for e in tokens[3]]
-                    at += len(unit.encode())
-                yield as_row(key, i, kept, fragment(ids_a, ends_a, ids_b, ends_b, low, high) if kept else IDENTITY)
+                *tokens, _, kept = both.encode(UNIT.findall(part))
+                yield as_row(key, i, bool(kept.all()), fragment(*tokens, low, high, both.ids) if kept.all() else IDENTITY)
 
     return run
 
