@@ -61,17 +61,16 @@ def change_history(
     null_safe: bool = True,
     keep: Sequence[str] = ("NEW", "CHANGED"),
     slice_by: Column | None = None,
-    hot_rows: int = skew.HOT_ROWS,
-    small_bytes: int = skew.SMALL_BYTES,
+    range_rows: int = skew.RANGE_ROWS,
 ) -> DataFrame:
     """Compare each row with the one before it of the same key and classify the difference.
 
     All previous values come from one ``lag`` over one struct: one exchange and one sort.
     """
     if slice_by is None:
-        slice_by = F.floor(F.unix_timestamp(order_by[0]) / 3600)
+        slice_by = F.unix_timestamp(order_by[0])
     columns = tracked_columns(causes)
-    out = skew.previous_row(df, [key], order_by, columns, slice_by, hot_rows, small_bytes)
+    out = skew.previous_row(df, [key], order_by, columns, slice_by, range_rows)
     prev = F.col("_prev")
     out = out.withColumn("change_type", change_type(prev["row_hash"], F.col("row_hash")))
     if keep:

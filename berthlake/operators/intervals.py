@@ -4,54 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from berthlake.functions import time as bt
 from berthlake.operators import skew
 
 
-def _merge(df: DataFrame, groups: Sequence[str], start: str, end: str, count: str) -> DataFrame:
-    """Islands of touching intervals: a new one starts where the running maximum end is passed."""
-    by_start = Window.partitionBy(*groups).orderBy(start, end)
-    before = by_start.rowsBetween(Window.unboundedPreceding, -1)
-    reached = F.max(end).over(before)
-    flagged = df.withColumn("_new", F.when(F.col(start) <= reached, 0).otherwise(1))
-    numbered = flagged.withColumn(
-        "_island", F.sum("_new").over(by_start.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    return numbered.groupBy(*groups, "_island").agg(
-        F.min(start).alias(start), F.max(end).alias(end), F.sum(count).alias(count)
-    ).drop("_island")
-
-
 def interval_islands(
     df: DataFrame,
     groups: Sequence[str],
     start: str = "eta",
     end: str = "etd",
-    slice_seconds: int = 3600,
-    hot_rows: int = skew.HOT_ROWS,
-    small_bytes: int = skew.SMALL_BYTES,
+    range_rows: int = skew.RANGE_ROWS,
 ) -> DataFrame:
     """Union of the intervals per group as disjoint intervals, with the number of sources.
 
-    Intervals of a hot group are first merged among those that start in the same slice; merging the
-    merged ones gives the same islands, and the second pass sees disjoint pieces only.
+    A new island starts where the running maximum end is passed; islands are numbered by the running count of such
+    starts. Both are prefix scans, so a group of any size is spread over tasks, and the last aggregate combines on the map side.
     """
-    base = df.select(*groups, start, end, F.lit(1).cast("bigint").alias("interval_count"))
-    hot = skew.hot_key_hashes(base, groups, hot_rows, small_bytes)
-    if hot:
-        slice_by = F.floor(F.unix_timestamp(start) / slice_seconds)
-        base = skew.with_slice(base, groups, slice_by, hot)
-        base = _merge(base, [*groups, "_slice"], start, end, "interval_count").drop("_slice")
-    return _merge(base, groups, start, end, "interval_count")
+    base = df.select(*groups, start, end)
+    slice_by = F.unix_timestamp(start)
+    starts = skew.range_starts(base, groups, slice_by, range_rows)
+    base = skew.with_range(base, groups, slice_by, starts)
+    order, cut = [start, end], bool(starts)
+    base = skew.running(base, groups, order, F.col(end), "_reached", "max", inclusive=False, cut=cut)
+    fresh = F.when(F.col(start) <= F.col("_reached"), 0).otherwise(1)
+    base = skew.running(base, groups, order, fresh, "_island", "sum", inclusive=True, cut=cut)
+    return base.groupBy(*groups, "_island").agg(
+        F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("interval_count")
+    ).drop("_island")
 
 
 def berth_occupancy(
     calls: DataFrame,
     grain: str = "month",
-    hot_rows: int = skew.HOT_ROWS,
-    small_bytes: int = skew.SMALL_BYTES,
+    range_rows: int = skew.RANGE_ROWS,
 ) -> DataFrame:
     """Percentage of berth hours in use per terminal and period (the period of the departure).
 
@@ -63,9 +50,7 @@ def berth_occupancy(
         period, F.month("etd") if grain == "month" else bt.biweek("etd")
     )
     # a missing berth is a berth of its own, as in a group-by
-    islands = interval_islands(
-        stays, [*groups, "berth"], hot_rows=hot_rows, small_bytes=small_bytes
-    )
+    islands = interval_islands(stays, [*groups, "berth"], range_rows=range_rows)
     per_berth = islands.groupBy(*groups, "berth").agg(
         F.sum(bt.seconds_between("eta", "etd")).alias("busy_seconds")
     )

@@ -349,7 +349,7 @@ def berth_occupancy(spark, sf):
 SELECT terminal_id, year, period AS month, round(berth_occupancy + 1e-9, 6) AS berth_occupancy FROM occ""")
 def berth_occupancy_sliced(spark, sf):
     """The layout for hot berths, forced."""
-    return rounded(intervals.berth_occupancy(base(spark, sf), hot_rows=10, small_bytes=0), "berth_occupancy", digits=6)
+    return rounded(intervals.berth_occupancy(base(spark, sf), range_rows=10), "berth_occupancy", digits=6)
 
 
 @query("berth_occupancy_biweekly", f"""WITH {BASE_SQL}, {OCC_BIWEEK_SQL}

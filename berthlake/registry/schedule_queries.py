@@ -89,9 +89,9 @@ def change_history_all_rows(spark, sf):
 @query("change_history_sliced",
        change_sql("gold_key", changes.BERTH_FIRST, True, "bronze_row_id, gold_key, change_type, change_detail") + KEPT)
 def change_history_sliced(spark, sf):
-    """The layout for hot keys, forced: rows of frequent keys run in hourly slices."""
+    """The layout for hot keys, forced: keys of more than five rows are cut into ranges."""
     return changes.change_history(
-        integrated(spark, sf), hot_rows=5, small_bytes=0,
+        integrated(spark, sf), range_rows=5,
     ).select("bronze_row_id", "gold_key", "change_type", "change_detail")
 
 
@@ -280,4 +280,4 @@ def interval_islands(spark, sf):
 @query("interval_islands_sliced", f"WITH {STAYS_SQL} {ISLAND_SELECT}")
 def interval_islands_sliced(spark, sf):
     """The layout for hot berths, forced."""
-    return intervals.interval_islands(stays(spark, sf), ["berth"], hot_rows=10, small_bytes=0)
+    return intervals.interval_islands(stays(spark, sf), ["berth"], range_rows=10)

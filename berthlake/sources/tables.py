@@ -8,20 +8,15 @@ from pyspark.sql.utils import AnalysisException
 from berthlake import fixed_values as fv
 from berthlake.functions import text, time as bt
 from berthlake.operators.bronze import rows_from
-from berthlake.operators.skew import estimated_bytes
-
-
-SPREAD_BYTES = 256 * 1024**2
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table. A small one often is a single file and would keep a single core busy, so it
-    is spread over the cores; a table above the limit has enough splits and is read as it is.
+    """A stored table. One with fewer splits than cores would leave cores idle, so it is spread over them;
+    its splits being few, it is small. Any other is read as it is.
     """
     df = spark.read.parquet(path)
-    if estimated_bytes(df) <= SPREAD_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def scan_optional(spark: SparkSession, path: str) -> DataFrame | None:
