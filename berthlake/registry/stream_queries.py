@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from berthlake import testbed as tb, testbed_files as tf
 from berthlake.operators import changes
-from berthlake.plans import gold
 from berthlake.registry import query, schedule_queries as sq
 from berthlake.session import scratch_path
 from berthlake.streaming import changes as sc, ingest, upsert
@@ -25,7 +24,8 @@ SELECT file_name AS source_file_name, r AS source_row_number, snapshot_ts,
   array_to_string(list_transform({tf.sql_by_terminal(tf.sql_list)}, lambda v: coalesce(v, '~')), ', ') AS cells FROM raw""")
 def stream_snapshot_ingest(spark, sf):
     out = scratch_path(spark, "stream-bronze")
-    raw = staged_stream(tf.raw_files(spark, sf), "stream-raw", 3)
+    files = tf.raw_files(spark, sf).withColumn("modificationTime", F.lit("2026-01-01").cast("timestamp"))
+    raw = staged_stream(files, "stream-raw", 3)
     ingest.ingest(raw, out, scratch_path(spark, "stream-log")).awaitTermination()
     return spark.read.parquet(out).select(
         "source_file_name", "source_row_number", "snapshot_ts", F.array_join("values", ", ", "~").alias("cells"))
@@ -38,13 +38,11 @@ STREAM_OUT = ["bronze_row_id", "gold_key", "berth", "prev_berth", "eta", "prev_e
 @query("stream_change_detect",
        sq.change_sql("gold_key", changes.BERTH_FIRST, True, ", ".join(STREAM_OUT)) + sq.KEPT)
 def stream_change_detect(spark, sf):
-    """The events table as a stream of snapshots, state in RocksDB."""
-    schema = tb.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    rows = gold.integrated_schedule(tb.silver_from_events(events))
+    """The schedule rows in files that are not in the order of their times: rows come late in every batch."""
+    stream = staged_stream(sq.integrated(spark, sf).drop("created_at"), "stream-silver", 3)
     out = scratch_path(spark, "stream-changes")
-    sc.write_changes(sc.detect_changes(rows, delay="0 seconds"), out, scratch_path(spark, "stream-log")).awaitTermination()
-    return spark.read.parquet(out).select(*STREAM_OUT)
+    sc.merge_changes(stream, out, scratch_path(spark, "stream-log"), expiry="20000 days", buckets=8).awaitTermination()
+    return sc.current_changes(spark, out).select(*STREAM_OUT)
 
 
 @query("stream_latest_upsert",

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from berthlake.operators import bronze as bz
 from berthlake.sources import sheets
 from berthlake.sources.files import RAW_SUFFIXES
 
+DELIVERY = "3 days"  # how long after its time a file may be delivered again
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -27,10 +28,20 @@ def raw_file_stream(
     )
 
 
-def ingest(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Start the stream; the file source log and the file sink together write every file once."""
+def each_file_once(raw: DataFrame, within: str = DELIVERY) -> DataFrame:
+    """A file that is delivered again, by the same name with the same content, is left out.
+
+    Its digest stays in the state for ``within`` after its time; the same content under another name is another snapshot.
+    """
+    named = raw.withColumns({"_name": F.element_at(F.split("path", "/"), -1), "_digest": F.sha2("content", 256)})
+    once = named.withWatermark("modificationTime", within).dropDuplicatesWithinWatermark(["_name", "_digest"])
+    return once.drop("_name", "_digest")
+
+
+def ingest(raw: DataFrame, path: str, checkpoint: str, within: str = DELIVERY) -> StreamingQuery:
+    """Start the stream; the file source log and the file sink together write every delivery once, and each file counts once."""
     return (
-        bz.bronze(sheets.decode(raw))
+        bz.bronze(sheets.decode(each_file_once(raw, within)))
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
