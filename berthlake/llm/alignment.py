@@ -43,7 +43,9 @@ RANGE_BYTES = 1 << 16
 BLOCK_PAIRS = 1 << 18
 FAN = 8  # fragments put together in one step of the tree
 HELD_UNITS = 1 << 18
-HELD_CHARS = 1 << 24
+HELD_CHARS = 1 << 23
+LEARNED_AT_ONCE = 1 << 14
+RUN_CHARS = 1 << 13
 LARGE_GROUP = 4096  # links of a group from which on equal ids are counted first
 BLANK = "▁"  # fixed value: the sign that B writes for a blank
 
@@ -202,17 +204,39 @@ class Tokenizers:
 
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A, their ends in bytes, ids of B, their ends, the units' ends, and which units keep their bytes; others have no tokens."""
-        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b = self.b.encode([u[1:] for u in units], num_threads=1)  # B puts the blank in front by itself
-        b = [[self.alone] if u == " " else x for u, x in zip(units, b)]
         raw = [u.encode() for u in units]
+        a, b = self.ids_of(runs(units))
         kept = np.ones(len(units), bool)
-        if not (b"".join(map(self.bytes_a.__getitem__, chain.from_iterable(a))) == b"".join(raw) == b"".join(map(self.bytes_b.__getitem__, chain.from_iterable(b)))):
-            kept = np.array([b"".join(map(self.bytes_a.__getitem__, x)) == u == b"".join(map(self.bytes_b.__getitem__, y)) for x, y, u in zip(a, b, raw)], bool)
-            a, b, raw = ([x if k else x[:0] for x, k in zip(xs, kept)] for xs in (a, b, raw))
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+        if not self.bytes_of(self.bytes_a, a) == b"".join(raw) == self.bytes_of(self.bytes_b, b):
+            each = [self.ids_of([u]) for u in units]
+            kept = np.array([self.bytes_of(self.bytes_a, x) == u == self.bytes_of(self.bytes_b, y) for (x, y), u in zip(each, raw)], bool)
+            a, b = ([k for x, good in zip(each, kept) if good for k in x[side]] for side in (0, 1))
+            raw = [u if good else b"" for u, good in zip(raw, kept)]
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
         ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
-        return flat_a, np.cumsum(self.sizes_a[flat_a]), flat_b, np.cumsum(self.sizes_b[flat_b]), ends, kept
+        return a, np.cumsum(self.sizes_a[a]), b, np.cumsum(self.sizes_b[b]), ends, kept
+
+    def ids_of(self, texts: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of A and of B of texts that begin with a blank, one after the other."""
+        a = list(chain.from_iterable(e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)))
+        theirs = self.b.encode([t[1:] for t in texts], num_threads=1)  # B puts the blank in front by itself
+        return a, list(chain.from_iterable([self.alone] if t == " " else x for t, x in zip(texts, theirs)))
+
+    @staticmethod
+    def bytes_of(table, ids: list[int]) -> bytes:
+        return b"".join(map(table.__getitem__, ids))
+
+
+def runs(units: list[str]) -> list[str]:
+    """Units put together to texts that both tokenizers cut into these units again: one that ends with white space ends its run."""
+    out, own, size = [], [], 0
+    for unit in units:
+        own.append(unit)
+        size += len(unit)
+        if size >= RUN_CHARS or unit[-1].isspace():
+            out.append("".join(own))
+            own, size = [], 0
+    return [*out, "".join(own)] if own else out
 
 
 @lru_cache(maxsize=1)
@@ -259,19 +283,19 @@ class Units(dict):
 
     def learn(self) -> None:
         """Groups of the units that are new since the last call."""
-        if not self.fresh:
-            return
-        *tokens, kept = self.both.encode(self.fresh)
-        found = grouped(*tokens, self.both.ids)
-        numbers = np.array([self.pairs.setdefault(code, len(self.pairs)) for code in found.pairs.tolist()], np.int64)
-        sizes = np.bincount(found.segments, minlength=len(self.fresh))
-        self.kept += kept.tolist()
-        self.texts += found.texts
-        self.counts = np.concatenate([self.counts, found.counts])
-        self.firsts = np.concatenate([self.firsts, self.firsts[-1] + np.cumsum(sizes)])
-        self.places = np.concatenate([self.places, numbers[found.places]])
-        self.codes = np.concatenate([self.codes, np.array(list(islice(self.pairs, len(self.codes), None)), np.int64)])
-        self.times = np.concatenate([self.times, found.times])
+        for first in range(0, len(self.fresh), LEARNED_AT_ONCE):
+            fresh = self.fresh[first: first + LEARNED_AT_ONCE]
+            *tokens, kept = self.both.encode(fresh)
+            found = grouped(*tokens, self.both.ids)
+            numbers = np.array([self.pairs.setdefault(code, len(self.pairs)) for code in found.pairs.tolist()], np.int64)
+            sizes = np.bincount(found.segments, minlength=len(fresh))
+            self.kept += kept.tolist()
+            self.texts += found.texts
+            self.counts = np.concatenate([self.counts, found.counts])
+            self.firsts = np.concatenate([self.firsts, self.firsts[-1] + np.cumsum(sizes)])
+            self.places = np.concatenate([self.places, numbers[found.places]])
+            self.codes = np.concatenate([self.codes, np.array(list(islice(self.pairs, len(self.codes), None)), np.int64)])
+            self.times = np.concatenate([self.times, found.times])
         self.fresh = []
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -346,20 +370,23 @@ def short_documents(path_a: str, path_b: str):
                 yield from blocks.add(batch.column(0).slice(first, end - first), counts, groups, bounds, codes, times)
         if blocks:
             yield from blocks.end()
+        units.clear()
+        pa.default_memory_pool().release_unused()  # an idle worker stays beside the executor
 
     return run
 
 
 def long_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of (row, counts, text of the groups, pairs, links): the documents in blocks."""
+    """Batches of (row, fragment): the documents in blocks."""
     blocks = None
     for batch in batches:
         blocks = blocks or Blocks(1, batch.column(0).type)
+        names = batch.schema.names[1:]
         for i in range(len(batch)):
-            row = batch.slice(i, 1)
-            counts = np.array([[row.column(1 + k)[0].as_py() for k in range(len(COUNTS))]], np.int64)
-            codes, times = (row.column(k).flatten().to_numpy(zero_copy_only=False) for k in (6, 7))
-            yield from blocks.add(row.column(0), counts, row.column(5).to_pylist(), np.array([0, len(codes)]), codes, times)
+            fields = {n: batch.column(k)[i].as_py() for k, n in enumerate(names, 1)}
+            done = whole(as_fragment(fields)) if fields["kept"] else NOTHING
+            codes, times = (np.fromiter(x, np.int64, len(done.links)) for x in (done.links, done.links.values()))
+            yield from blocks.add(batch.column(0).slice(i, 1), np.array([done[:4]], np.int64), [done.text], np.array([0, len(codes)]), codes, times)
     if blocks:
         yield from blocks.end()
 
@@ -444,7 +471,7 @@ def composed_groups(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
 
 
 def texts_of_ranges(texts: DataFrame, path_a: str, path_b: str, step: int) -> DataFrame:
-    """(key, counts, groups, pairs, times) of long texts (key, text)."""
+    """(key, fragment) of long texts (key, text), written apart, so that a task never has more than one Python worker."""
     parts = texts.mapInArrow(cut_ranges(step), "key string, i bigint, ranges bigint, low bigint, high bigint, part string").dropDuplicates(["key", "i"])
     parts = stored(parts, "ranges")
     most = parts.agg(F.max("ranges")).first()[0] or 0
@@ -452,17 +479,7 @@ def texts_of_ranges(texts: DataFrame, path_a: str, path_b: str, step: int) -> Da
     while most > 1:
         now = now.groupBy("key", F.expr(f"i div {FAN}")).applyInArrow(composed_groups, FRAGMENT_SCHEMA)
         most = -(-most // FAN)
-    names = FRAGMENT_NAMES[6:13]
-
-    def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                done = whole(as_fragment(row)) if row["kept"] else NOTHING
-                values = [(row["key"], pa.string()), *((n, pa.int64()) for n in done[:4]), (done.text, pa.string()),
-                          (list(done.links), pa.list_(pa.int64())), (list(done.links.values()), pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in values], names=["key", *names])
-
-    return now.mapInArrow(closed, "key string, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, pairs array<bigint>, times array<bigint>")
+    return stored(now.drop("i"), "fragments")
 
 
 def linked(docs: DataFrame, path_a: str, path_b: str, text: str = "text", keep: list[str] | None = None, step: int = RANGE_BYTES) -> DataFrame:
@@ -474,7 +491,7 @@ def linked(docs: DataFrame, path_a: str, path_b: str, text: str = "text", keep:
     short = rows.filter(F.octet_length("text") < step).mapInArrow(short_documents(path_a, path_b), schema)
     long = rows.filter(F.octet_length("text") >= step).withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
     found = texts_of_ranges(long.select("key", "text"), path_a, path_b, step)
-    long = long.select("_row", "key").join(found, "key").select("_row", *COUNTS, "groups", "pairs", "times").mapInArrow(long_documents, schema)
+    long = long.select("_row", "key").join(found, "key").select("_row", *FRAGMENT_NAMES[2:]).mapInArrow(long_documents, schema)
     return stored(short.unionByName(long), "linked")
 
 
