@@ -328,11 +328,10 @@ def monthly_long(forecast: DataFrame) -> DataFrame:
     )
 
 
-def forecast_long(vectors: DataFrame, year: int, month: int) -> DataFrame:
-    """Volume vectors per terminal and scenario, the first entry being the given month, as rows."""
-    first = year * 12 + month - 1
-    rows = vectors.select("terminal_id", "scenario", F.posexplode("volumes").alias("pos", "volume"))
-    at = F.col("pos") + first
+def forecast_long(vectors: DataFrame, first: str = "first_idx") -> DataFrame:
+    """Volume vectors per terminal and scenario as rows; ``first`` is the month index of a vector's first entry, gaps are null."""
+    rows = vectors.select("terminal_id", "scenario", first, F.posexplode("volumes").alias("pos", "volume")).filter(F.col("volume").isNotNull())
+    at = F.col("pos") + F.col(first)
     rows = rows.withColumns({"year": bt.period_year(at, 12), "month": bt.period_of_year(at, 12)})
     return rows.select(
         "terminal_id", "scenario", "year", "month",

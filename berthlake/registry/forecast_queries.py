@@ -123,18 +123,18 @@ def index_scenarios_biweekly(spark, sf):
 
 
 @query("write_forecast_long", f"""WITH {pq.BASE_SQL}, {pq.OPS_SQL},
-f AS (SELECT terminal_id, scenario, idx, CAST(volume AS BIGINT) AS volume FROM ops, {SCENARIOS} WHERE idx >= 2000 * 12)
+f AS (SELECT terminal_id, scenario, idx, CAST(volume AS BIGINT) AS volume FROM ops, {SCENARIOS})
 SELECT terminal_id, scenario, CAST(idx // 12 AS INT) AS year, CAST(idx % 12 + 1 AS INT) AS month,
-  CAST(make_date(CAST(idx // 12 AS INT), CAST(idx % 12 + 1 AS INT), 1) AS VARCHAR) AS month_date, volume
-FROM f WHERE terminal_id <> 'terminal_7'""")
+  CAST(make_date(CAST(idx // 12 AS INT), CAST(idx % 12 + 1 AS INT), 1) AS VARCHAR) AS month_date, volume FROM f""")
 def write_forecast_long(spark, sf):
-    """Vectors of the volumes from 2000-01 on, as rows, stored and read back."""
-    ops = pn.terminal_ops(pq.base(spark, sf)).filter((F.col("idx") >= 2000 * 12) & (F.col("terminal_id") != "terminal_7"))
-    # eighteen months per terminal
+    """Vectors of the volumes of every terminal, from its first month on, as rows, stored and read back."""
+    ops = pn.terminal_ops(pq.base(spark, sf))
+    # a month per entry
     vectors = ops.groupBy("terminal_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("idx", "volume"))), lambda r: r["volume"]).alias("volumes"))
-    vectors = vectors.select("*", fc.scenario_rows().alias("s")).select("terminal_id", "s.scenario", "volumes")
-    return sinks.write_table(fc.forecast_long(vectors, 2000, 1), scratch_path(spark, "forecast"))
+        F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.map_from_entries(F.collect_list(F.struct("idx", "volume"))).alias("known"))
+    vectors = vectors.withColumn("volumes", F.expr("transform(sequence(first_idx, last_idx), i -> try_element_at(known, i))"))
+    vectors = vectors.select("*", fc.scenario_rows().alias("s")).select("terminal_id", "s.scenario", "first_idx", "volumes")
+    return sinks.write_table(fc.forecast_long(vectors), scratch_path(spark, "forecast"))
 
 
 @query("forecast_annual_summary", f"""WITH {pq.BASE_SQL}, {pq.OPS_SQL},

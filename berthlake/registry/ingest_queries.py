@@ -120,24 +120,34 @@ def parse_snapshot_name(spark, sf):
                         files.snapshot_ts_of_file("file_name").alias("snapshot_ts"))
 
 
-@query("sanitize_columns", f"""WITH {tf.RAW_SQL}
-SELECT r AS source_row_number, file_name AS source_file_name, {", ".join(
-    f'v_{s} AS "{text.safe_name(h)}"' for h, s in fv.COLUMN_MAPS[7].items())} FROM raw WHERE tno = 7""")
-def sanitize_columns(spark, sf):
-    rows = bz.bronze(decoded(spark, sf, "xlsx"))
-    return bz.wide(rows, 7).drop("terminal_id", "snapshot_id", "bronze_row_id", "row_hash")
+def wide_sql(t):
+    """Raw rows of one terminal under its safe names, and nothing for names that terminals share only by chance."""
+    names = ", ".join(f'v_{s} AS "{text.safe_name(h)}"' for h, s in fv.COLUMN_MAPS[t].items())
+    return f"SELECT file_name AS source_file_name, r AS source_row_number, {names} FROM raw WHERE tno = {t}"
 
 
-@query("concat_union_schema", f"""WITH {tf.RAW_SQL}
-SELECT file_name AS source_file_name, r AS source_row_number, {", ".join(
-    f"v_{s} AS col_{i + 1}" for i, s in enumerate(fv.COLUMN_MAPS[4].values()))}, NULL::VARCHAR AS col_17 FROM raw WHERE tno = 4
-UNION ALL SELECT file_name, r, {", ".join(f"v_{s}" for s in fv.COLUMN_MAPS[1].values())}, NULL, NULL FROM raw WHERE tno = 1
-UNION ALL SELECT file_name, r, {", ".join(f"v_{s}" for s in fv.COLUMN_MAPS[2].values())} FROM raw WHERE tno = 2""")
+@query("sanitize_columns", f"WITH {tf.RAW_SQL} " + " UNION ALL ".join(
+    f"SELECT file_name AS source_file_name, r AS source_row_number, tno AS terminal_no, '{text.safe_name(h)}' AS column_name, v_{s} AS value "
+    f"FROM raw WHERE tno = {t}" for t, m in fv.COLUMN_MAPS.items() for h, s in m.items()))
+def sanitize_columns(spark, sf):
+    """Every cell of every terminal under its safe column name."""
+    rows, out = bronze(spark, sf), None
+    for t, headers in fv.COLUMN_MAPS.items():
+        names = [text.safe_name(h) for h in headers]
+        cells = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("value")) for n in names]))
+        part = bz.wide(rows, t).select("source_file_name", "source_row_number", F.lit(t).alias("terminal_no"), cells.alias("c"))
+        part = part.select("source_file_name", "source_row_number", "terminal_no", "c.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("concat_union_schema", f"WITH {tf.RAW_SQL} " + " UNION ALL BY NAME ".join(wide_sql(t) for t in fv.COLUMN_MAPS))
 def concat_union_schema(spark, sf):
-    rows = bz.bronze(decoded(spark, sf, "xls"))
-    out = bz.wide(rows, 1)
-    for t in (2, 4):
-        out = out.unionByName(bz.wide(rows, t), allowMissingColumns=True)
+    """All terminals under one schema; a column that a terminal lacks is null."""
+    rows, out = bronze(spark, sf), None
+    for t in fv.COLUMN_MAPS:
+        part = bz.wide(rows, t)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out.drop("terminal_id", "snapshot_id", "bronze_row_id", "row_hash")
 
 

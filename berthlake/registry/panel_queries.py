@@ -254,7 +254,8 @@ def yearly_tables(spark, sf):
     """The silver monthly table stored by year, read back one year at a time (partition pruning)."""
     path = scratch_path(spark, "monthly")
     stored = sinks.write_table(tb.silver_monthly(spark, sf), path, partition_by=("year",))
-    return {y: stored.filter(F.col("year") == y).drop("year") for y in range(1995, 2002)}
+    years = sorted(int(r[0]) for r in stored.select("year").distinct().collect())  # a row per year
+    return {y: stored.filter(F.col("year") == y).drop("year") for y in years}
 
 
 @query("union_years", f"WITH {tb.MONTHLY_SQL} SELECT {MONTHLY_SELECT} FROM monthly")
@@ -286,7 +287,7 @@ def monthly_sheets(spark, sf):
 @query("scan_monthly_by_year", f"""WITH {tb.MONTHLY_SQL} SELECT {MONTHLY_SELECT}, NULL::VARCHAR AS error FROM monthly
 UNION ALL SELECT 1994, {', '.join(['NULL'] * (len(MONTHLY_OUT) - 1))}, 'unexpected column count: 10'""")
 def scan_monthly_by_year(spark, sf):
-    found = tables.monthly_sheets(monthly_sheets(spark, sf), 1994, 2001)
+    found = tables.monthly_sheets(monthly_sheets(spark, sf))
     good = gold.monthly_container(tables.monthly_rows(found)).select(*MONTHLY_OUT)
     bad = found.filter("error IS NOT NULL").select("year", "error")
     return good.unionByName(bad, allowMissingColumns=True)
@@ -445,43 +446,35 @@ def join_ops_occupancy(spark, sf):
     return rounded(out.select("terminal_id", "year", "period", "volume", "berth_occupancy"), "berth_occupancy", digits=6)
 
 
-GAPS_SQL = f"""{BASE_SQL}, {OPS_SQL}, {OCC_SQL},
-gappy AS (SELECT * FROM occ WHERE NOT (period % 5 = 0) AND NOT (terminal_id = 'terminal_2' AND period = 3 AND year < {CUT})
-  AND NOT (year = {CUT} AND period = 3))"""
-
-
-@query("impute_from_history_mean", f"""WITH {GAPS_SQL},
-means AS (SELECT terminal_id, period, avg(berth_occupancy) AS m FROM gappy WHERE year < {CUT} GROUP BY 1, 2)
+@query("impute_from_history_mean", f"""WITH {BASE_SQL}, {OPS_SQL}, {OCC_SQL},
+means AS (SELECT terminal_id, period, avg(berth_occupancy) AS m FROM occ WHERE year < {CUT} GROUP BY 1, 2)
 SELECT ops.terminal_id, ops.year, ops.period, round(coalesce(g.berth_occupancy, m.m, 50.0) + 1e-9, 6) AS berth_occupancy
-FROM ops LEFT JOIN gappy g USING (terminal_id, year, period) LEFT JOIN means m USING (terminal_id, period)""")
+FROM ops LEFT JOIN occ g USING (terminal_id, year, period) LEFT JOIN means m USING (terminal_id, period)""")
 def impute_from_history_mean(spark, sf):
-    """With some occupancy rows taken out: mean of the period, and the constant where that is missing too."""
+    """Occupancy by departure month, joined to the months of operation; where that is missing, the mean of the period, then the constant."""
     calls = base(spark, sf)
-    occupancy = intervals.berth_occupancy(calls).withColumnRenamed("month", "period").filter(
-        (F.col("period") % 5 != 0)
-        & ~((F.col("terminal_id") == "terminal_2") & (F.col("period") == 3) & (F.col("year") < CUT))
-        & ~((F.col("year") == CUT) & (F.col("period") == 3)))
+    occupancy = intervals.berth_occupancy(calls).withColumnRenamed("month", "period")
     out = pn.impute_occupancy(pn.join_occupancy(pn.terminal_ops(calls), occupancy), occupancy, CUT)
     return rounded(out.select("terminal_id", "year", "period", "berth_occupancy"), "berth_occupancy", digits=6)
 
 
 @query("join_transship_ratio", f"""WITH {BASE_SQL}, {OPS_SQL}, {RATIO_SQL}
 SELECT o.terminal_id, o.year, o.period, round(coalesce(r.transship_ratio, {TRANS_DEFAULT.replace("CASE month", "CASE o.month")}, 64.0) + 1e-9, 6) AS transship_ratio
-FROM ops o LEFT JOIN (SELECT * FROM ratios WHERE month <> 4) r ON r.year = o.year AND r.month = o.month""")
+FROM ops o LEFT JOIN ratios r ON r.year = o.year AND r.month = o.month""")
 def join_transship_ratio(spark, sf):
-    """Without the April rows, so that the constant of the month is used as well."""
-    ratios = pn.transship_ratio(monthly(spark, sf)).filter("month <> 4")
-    out = pn.join_transship(pn.terminal_ops(base(spark, sf)), ratios)
+    out = pn.join_transship(pn.terminal_ops(base(spark, sf)), pn.transship_ratio(monthly(spark, sf)))
     return rounded(out.select("terminal_id", "year", "period", "transship_ratio"), "transship_ratio", digits=6)
 
 
-@query("forward_backward_fill", f"""WITH {BASE_SQL}, {OPS_SQL}, g AS (
-  SELECT *, CASE WHEN idx % 4 = 1 THEN volume END AS v FROM ops)
-SELECT terminal_id, idx, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY terminal_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-  first_value(v IGNORE NULLS) OVER (PARTITION BY terminal_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS v FROM g""")
+@query("forward_backward_fill", f"""WITH {BASE_SQL}, {OPS_SQL}, {INDEX_M_SQL},
+g AS (SELECT terminal_id, idx, i.index_raw AS v FROM ops LEFT JOIN index_m i USING (year, period))
+SELECT terminal_id, idx, round(coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY terminal_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(v IGNORE NULLS) OVER (PARTITION BY terminal_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 4) AS v FROM g""")
 def forward_backward_fill(spark, sf):
-    gappy = pn.terminal_ops(base(spark, sf)).select("terminal_id", "idx", F.when(F.col("idx") % 4 == 1, F.col("volume")).alias("v"))
-    return series.forward_backward_fill(gappy, ["v"], series.by_terminal())
+    """The freight index of each month of operation, which ends earlier than the operations do."""
+    monthly_index = series.monthly_index(index(spark, sf)).select("year", "period", F.col("index_raw").alias("v"))
+    gappy = pn.terminal_ops(base(spark, sf)).join(monthly_index, ["year", "period"], "left").select("terminal_id", "idx", "v")
+    return series.forward_backward_fill(gappy, ["v"], series.by_terminal()).withColumn("v", F.round("v", 4))
 
 
 def adjusted_sql():

@@ -39,14 +39,18 @@ def freight_index(rows: DataFrame, category: str = fv.FREIGHT_CATEGORY) -> DataF
     )
 
 
-def monthly_sheets(sheets: DataFrame, first_year: int = 2022, last_year: int = 2026) -> DataFrame:
-    """One file per year: an exact name wins over any other file name with that year.
+def monthly_sheets(sheets: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """One file per year, of all years or those asked for: an exact name wins over any other file name with that year.
 
     Row 0 is the title, row 1 the sub-header; a sheet of another width is an error row.
     """
     pattern = r"(20\d{2}|19\d{2})"
     dated = sheets.withColumn("year", F.regexp_extract("file_name", pattern, 1).try_cast("int"))
-    dated = dated.filter(F.col("year").between(first_year, last_year))
+    dated = dated.filter(F.col("year").isNotNull())
+    if first_year is not None:
+        dated = dated.filter(F.col("year") >= first_year)
+    if last_year is not None:
+        dated = dated.filter(F.col("year") <= last_year)
     before, after = fv.MONTHLY_FILE_NAME.split("{year}")
     exact = F.col("file_name") == F.concat(F.lit(before), F.col("year").cast("string"), F.lit(after))
     rank = F.struct(exact.cast("int").alias("exact"), F.col("file_name").alias("name"))
