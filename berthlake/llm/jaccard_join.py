@@ -364,9 +364,19 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id
 def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each component, that with the smallest id; documents without words or without an id all stay.
 
-    Rows that repeat id and text count once.
+    A document is an id with its text: where an id stands with several texts, each of them is judged on its own, and of two
+    in one component the one with the lower digest stays. Rows that repeat id and text count once, the one whose other
+    columns come first in order.
     """
-    found = join(docs, shingle, percent)
-    gone = found.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    own = "_document"
+    while own in docs.columns:
+        own += "_"
+    keyed = docs.withColumn(own, F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("digest"))))
+    found = join(keyed, shingle, percent, doc_id=own)
+    gone = found.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(own)).distinct()
+    kept = keyed.join(gone, own, "left_anti")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    if not others:
+        return kept.select("doc_id", "text").distinct()
+    first = kept.groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias(own))
+    return first.select(*[c if c in ("doc_id", "text") else F.col(f"{own}.`{c}`").alias(c) for c in docs.columns])

@@ -86,6 +86,18 @@ def test_jaccard_join(spark, texts):
     assert sorted(r["doc_id"] for r in kept.collect()) == [i for i in range(len(texts)) if root(i) == i]
 
 
+def test_one_of_each_group_loses_no_text(spark):
+    r = random.Random(12)
+    a, b, c = (sentence(r, 40) for _ in range(3))
+    near = a + " more"
+    docs = table(spark, [a, a, b, c, near, c, None, None, a], [1, 5, 5, 7, 5, 7, 9, 9, None]).withColumn("_document", F.lit("own"))
+    rows = jaccard_join.one_of_each_group(docs.repartition(3))
+    assert rows.columns == docs.columns
+    assert sorted(((r["doc_id"] or 0), r["text"] or "") for r in rows.collect()) == sorted([(1, a), (5, b), (7, c), (9, ""), (0, a)])
+    twice = spark.createDataFrame([(7, c, "en", s, 1, "x") for s in ("s2", "s1")], SCHEMA)
+    assert [r["source"] for r in jaccard_join.one_of_each_group(twice).collect()] == ["s1"]
+
+
 def test_jaccard_join_edge_tables(spark):
     assert jaccard_join.join(table(spark, [])).count() == 0
     got = jaccard_join.join(table(spark, ["a b c", "a b c", "", None], [None, 7, 7, None])).collect()
