@@ -276,13 +276,16 @@ FEATURE_LAST_RESORT = {
     "shift_ratio": 0.0,
     "transship_ratio": 64.0,
 }
+# The same for the transshipment share of terminals that are not projected.
+FLAT_SHARE_LAST_RESORT = 0.0
 
 # Model parameters.
 RIDGE_ALPHA = 50.0
 TREE_COUNT = 30
 TREE_DEPTH = 3
 TREE_STEP = 0.08
-TREE_SEED = 42
+TREE_L1 = 1.0
+TREE_L2 = 1.0
 SCENARIO_STEP = {"Flat": 0.0, "Rise": 0.05, "Fall": -0.05}
 MONTH_HORIZON = 18
 BIWEEK_HORIZON = 39

@@ -1,20 +1,18 @@
-"""Scenario forecasts: a ridge model per terminal, pooled boosted trees, and the step-wise projection."""
+"""Scenario forecasts: a ridge model and boosted trees per terminal, and the step-wise projection as one expression."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from berthlake import fixed_values as fv
 from berthlake.functions import text, time as bt
-from berthlake.operators.series import PER_YEAR, clamp_trend, fallback_values, season_weight
-from berthlake.plans import ridge_solver
-from berthlake.session import cut_lineage
+from berthlake.functions.barrier import compute_once
+from berthlake.operators.series import PER_YEAR, clamp_trend, fallback_values, history_means, season_weight
+from berthlake.plans import boosting, ridge_solver
 
 FEATURES = fv.FEATURES
 OPERATIONS = fv.OPERATIONAL_FEATURES
@@ -59,21 +57,28 @@ def fit_ridge(panel: DataFrame, alpha: float = fv.RIDGE_ALPHA) -> DataFrame:
     )
 
 
-def fit_trees(panel: DataFrame) -> PipelineModel:
-    """Boosted trees over all terminals at once, the terminal being a categorical feature.
+def fit_trees(
+    panel: DataFrame, l1: float = fv.TREE_L1, l2: float = fv.TREE_L2, trees: int = fv.TREE_COUNT,
+    depth: int = fv.TREE_DEPTH, step: float = fv.TREE_STEP,
+) -> DataFrame:
+    """Boosted trees per terminal, as rows (terminal_id, base, leaves).
 
-    One distributed fit instead of one small fit per terminal. The library has no leaf penalty, so
-    the numbers differ from those of other boosting libraries.
+    All terminals are fitted in one job, a series per call. What meets in a task is one series: at most 12 or 26
+    rows per year, as the panel has one row per terminal and period.
     """
-    rows = complete(panel)
-    indexer = StringIndexer(inputCol="terminal_id", outputCol="_terminal", handleInvalid="keep").fit(rows)
-    assembler = VectorAssembler(inputCols=[*FEATURES, "_terminal"], outputCol="_vector")
-    trees = GBTRegressor(
-        featuresCol="_vector", labelCol="volume", predictionCol="tree_prediction",
-        maxIter=fv.TREE_COUNT, maxDepth=fv.TREE_DEPTH, stepSize=fv.TREE_STEP, seed=fv.TREE_SEED,
-        maxBins=max(32, len(indexer.labels) + 2),
+    rows = complete(panel).select(
+        "terminal_id", "idx", F.col("volume").cast("double").alias("volume"),
+        *[F.col(c).cast("double").alias(c) for c in FEATURES],
     )
-    return Pipeline(stages=[indexer, assembler, trees]).fit(rows)
+    fitter = boosting.fitter(FEATURES, "volume", "idx", trees=trees, depth=depth, step=step, l1=l1, l2=l2)
+    return rows.groupBy("terminal_id").applyInPandas(
+        fitter, f"terminal_id string, base double, leaves array<{boosting.LEAF_TYPE}>"
+    )
+
+
+def fit_models(panel: DataFrame) -> DataFrame:
+    """Both models of each terminal in one row."""
+    return fit_ridge(panel).join(fit_trees(panel), "terminal_id")
 
 
 def feature_array(prefix: str = "") -> Column:
@@ -86,16 +91,42 @@ def ridge_prediction(values: Column | None = None) -> Column:
     return F.aggregate(products, F.col("intercept"), lambda s, p: s + p)
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def within(values: Column, side: Column) -> Column:
+    """Whether the row lies between the borders that a leaf has for one feature."""
+    x = F.get(values, side["feature"])
+    return (x >= side["low"]) & (x < side["high"])
+
+
+def tree_prediction(values: Column | None = None) -> Column:
+    """Mean plus the value of the one leaf per tree whose box holds the row."""
+    def total(x: Column) -> Column:
+        def add(s: Column, leaf: Column) -> Column:
+            return s + F.when(F.forall(leaf["box"], lambda side: within(x, side)), leaf["value"]).otherwise(0.0)
+
+        return F.aggregate("leaves", F.col("base"), add)
+
+    return bound(feature_array() if values is None else values, total)
+
+
+def blend(tree: Column, ridge: Column) -> Column:
+    return tree * 0.5 + ridge * 0.5
+
+
 def ensemble(tree: Column, ridge: Column) -> Column:
     """Mean of both models, cut to a whole number, never negative."""
-    return F.greatest(F.lit(0).cast("bigint"), (tree * 0.5 + ridge * 0.5).cast("bigint"))
+    return F.greatest(F.lit(0).cast("bigint"), blend(tree, ridge).cast("bigint"))
 
 
-def predict(rows: DataFrame, trees: PipelineModel) -> DataFrame:
-    """Rows that carry the features and the ridge coefficients -> both predictions and the ensemble."""
-    scored = trees.transform(rows).drop("_terminal", "_vector")
-    scored = scored.withColumn("ridge_prediction", ridge_prediction())
-    return scored.withColumn("predicted", ensemble(F.col("tree_prediction"), F.col("ridge_prediction")))
+def predict(rows: DataFrame) -> DataFrame:
+    """Rows that carry the features and both models -> both predictions, their mean and the whole number of it."""
+    scored = compute_once(rows, tree_prediction=tree_prediction(), ridge_prediction=ridge_prediction())
+    tree, ridge = F.col("tree_prediction"), F.col("ridge_prediction")
+    return scored.withColumns({"score": blend(tree, ridge), "predicted": ensemble(tree, ridge)})
 
 
 # ---------------------------------------------------------------- projection state
@@ -135,7 +166,12 @@ def series_state(panel: DataFrame, ratios: DataFrame, horizon: Horizon) -> DataF
     falls = fallback_values(panel, ratios, horizon.before_year).groupBy("terminal_id").agg(
         F.map_from_entries(F.collect_list(F.struct("feature", "fallback"))).alias("fallbacks")
     )
-    return maps.join(falls, "terminal_id", "left")
+    # the share of flat terminals is their own mean, not the port's
+    own = history_means(panel, ["transship_ratio"], horizon.before_year).filter("transship_ratio_mean IS NOT NULL")
+    own = own.groupBy("terminal_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("period", "transship_ratio_mean"))).alias("own_share")
+    )
+    return maps.join(falls, "terminal_id", "left").join(own, "terminal_id", "left")
 
 
 def _recent_mean(value, offset: int, recent: int) -> Column:
@@ -144,10 +180,14 @@ def _recent_mean(value, offset: int, recent: int) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda s, i: s + value(i + offset, i)) / recent
 
 
-def projected_operation(feature: str, t: Column, horizon: Horizon) -> Column:
-    """Value of an operational feature at period ``t``: last year's value times the recent trend."""
+def projected_operation(feature: str, t: Column, horizon: Horizon, known: Column | None = None) -> Column:
+    """Value of an operational feature at period ``t``: last year's value times the recent trend.
+
+    ``known`` maps period index -> value, projected periods included. Flat terminals take the mean of their own
+    history for this period of the year.
+    """
     per_year, recent = horizon.per_year, horizon.recent
-    known = F.col(f"m_{feature}")
+    known = F.col(f"m_{feature}") if known is None else known
     means = F.try_element_at("fallbacks", F.lit(feature))
     last_resort = F.lit(fv.FEATURE_LAST_RESORT[feature])
 
@@ -158,18 +198,21 @@ def projected_operation(feature: str, t: Column, horizon: Horizon) -> Column:
         return F.coalesce(F.try_element_at(known, (t - back).cast("int")), history_mean(step))
 
     trend = clamp_trend(_recent_mean(value, 0, recent), _recent_mean(value, per_year, recent))
-    adjusted = value(per_year, 0) * trend
-    return F.when(F.col("terminal_id").isin(*FLAT_TERMINALS), history_mean(0)).otherwise(adjusted)
+    flat = history_mean(0)
+    if feature == "transship_ratio":
+        flat = F.coalesce(
+            F.try_element_at("own_share", bt.period_of_year(t, per_year)), F.lit(fv.FLAT_SHARE_LAST_RESORT)
+        )
+    return F.when(F.col("terminal_id").isin(*FLAT_TERMINALS), flat).otherwise(value(per_year, 0) * trend)
 
 
-def projected_volume_features(t: Column, horizon: Horizon) -> dict[str, Column]:
+def projected_volume_features(t: Column, horizon: Horizon, known: Column | None = None) -> dict[str, Column]:
     per_year, recent = horizon.per_year, horizon.recent
+    known = F.col("m_volume") if known is None else known
 
     def value(back, season_of) -> Column:
         month = bt.month_of_period(bt.period_of_year(t - season_of, per_year), per_year)
-        return F.coalesce(
-            F.try_element_at("m_volume", (t - back).cast("int")), F.col("mean_volume") * season_weight(month)
-        )
+        return F.coalesce(F.try_element_at(known, (t - back).cast("int")), F.col("mean_volume") * season_weight(month))
 
     year_ago = value(per_year, 0)
     trend = clamp_trend(_recent_mean(value, 0, recent), _recent_mean(value, per_year, recent))
@@ -177,32 +220,47 @@ def projected_volume_features(t: Column, horizon: Horizon) -> dict[str, Column]:
     return {"lag_adj": year_ago * trend, "rolling_yoy": around / 3}
 
 
-def extended(map_name: str, t: Column, value: str) -> Column:
-    return F.map_concat(map_name, F.create_map(t.cast("int"), F.col(value).cast("double")))
+def _packed(columns: dict[str, Column]) -> Column:
+    return F.struct(*[c.alias(name) for name, c in columns.items()])
+
+
+def _extended(known: Column, t: Column, value: Column) -> Column:
+    return F.map_concat(known, F.create_map(t.cast("int"), value.cast("double")))
+
+
+def _walk(start: dict[str, Column], entry_type: str, steps: int, step) -> Column:
+    """Entries of ``steps`` periods, the state going from one to the next; one expression on one row per series.
+
+    ``step(state, k)`` gives the entry and, as a function of the finished entry, the next state.
+    """
+    def merge(acc: Column, k: Column) -> Column:
+        entry, after = step(acc, k)
+        return bound(entry, lambda e: _packed({**after(e), "path": F.concat(acc["path"], F.array(e))}))
+
+    zero = _packed({**start, "path": F.array().cast(f"array<{entry_type}>")})
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), zero, merge, lambda acc: acc["path"])
+
+
+def _entry_type(columns: Sequence[str]) -> str:
+    return "struct<idx: int, " + ", ".join(f"{c}: double" for c in columns) + ">"
+
+
+def _operations_state() -> dict[str, Column]:
+    return {f"m_{c}": F.col(f"m_{c}") for c in OPERATIONS}
 
 
 # ---------------------------------------------------------------- hold-out check
 
 def project_operations(state: DataFrame, steps: int, horizon: Horizon) -> DataFrame:
     """Operational features of the next ``steps`` periods, each step using the ones before."""
-    # ``t`` is a column, not a literal: every step runs the same generated code
-    t = F.col("t")
-    out = state.withColumns({"path": F.array().cast(_path_type(OPERATIONS)), "t": F.col("last_idx") + 1})
-    operations = {c: projected_operation(c, t, horizon) for c in OPERATIONS}
-    entry = F.struct(t.cast("int").alias("idx"), *[F.col(c) for c in OPERATIONS])
-    after = {
-        "path": F.concat("path", F.array(entry)),
-        **{f"m_{c}": extended(f"m_{c}", t, c) for c in OPERATIONS},
-        "t": t + 1,
-    }
-    for _ in range(steps):
-        # one row per terminal
-        out = cut_lineage(out.withColumns(operations).withColumns(after).drop(*OPERATIONS))
-    return out.select("terminal_id", F.explode("path").alias("p")).select("terminal_id", "p.*")
-
-
-def _path_type(columns: Sequence[str]) -> str:
-    return "array<struct<idx: int, " + ", ".join(f"{c}: double" for c in columns) + ">>"
+    def step(acc: Column, k: Column):
+        t = F.col("last_idx") + k
+        operations = {c: projected_operation(c, t, horizon, acc[f"m_{c}"]).cast("double") for c in OPERATIONS}
+        after = lambda e: {f"m_{c}": _extended(acc[f"m_{c}"], t, e[c]) for c in OPERATIONS}
+        return _packed({"idx": t.cast("int"), **operations}), after
+
+    path = _walk(_operations_state(), _entry_type(OPERATIONS), steps, step)
+    return state.select("terminal_id", F.explode(path).alias("p")).select("terminal_id", "p.*")
 
 
 def validate_holdout(
@@ -210,11 +268,14 @@ def validate_holdout(
 ) -> DataFrame:
     """Fit up to a month, predict the following periods with projected operational features.
 
-    Returns the hold-out rows with actual and predicted volume; ``regression_metrics`` sums them up.
+    Only the ``steps`` periods are held out, by their months; later ones are neither trained on nor scored, as
+    nothing is projected for them. Returns the rows with actual and predicted volume; ``regression_metrics`` sums
+    them up by ``score``, the mean of both models before it is cut to a whole number.
     """
     before = (F.col("year") < year) | ((F.col("year") == year) & (F.col("month") <= train_to_month))
-    train, held = panel.filter(before), panel.filter(~before & (F.col("year") == year))
-    ridge, trees = fit_ridge(train), fit_trees(train)
+    last_month = train_to_month + round(steps * 12 / horizon.per_year)
+    train = panel.filter(before)
+    held = panel.filter((F.col("year") == year) & F.col("month").between(train_to_month + 1, last_month))
     projected = project_operations(series_state(train, ratios, horizon), steps, horizon)
     # terminals with history means keep their actual operational values in the check
     projected = projected.filter(~F.col("terminal_id").isin(*FLAT_TERMINALS)).select(
@@ -223,8 +284,17 @@ def validate_holdout(
     rows = complete(held).join(projected, ["terminal_id", "idx"], "left").withColumns(
         {c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in OPERATIONS}
     ).drop(*[f"_{c}" for c in OPERATIONS])
-    return predict(rows.join(ridge.drop("n", "means"), "terminal_id"), trees).select(
-        "terminal_id", "idx", "year", "period", "month", "volume", "tree_prediction", "ridge_prediction", "predicted"
+    return predict(rows.join(fit_models(train).drop("n", "means"), "terminal_id")).select(
+        "terminal_id", "idx", "year", "period", "month", "volume", "tree_prediction", "ridge_prediction", "score",
+        "predicted",
+    )
+
+
+def holdout_by_month(held: DataFrame) -> DataFrame:
+    """Hold-out rows of two-week periods added up to months, ready for ``regression_metrics``."""
+    month = F.try_element_at(text.literal_map(fv.BIWEEK_TO_MONTH), F.col("period"))
+    return held.groupBy("terminal_id", "year", month.alias("month")).agg(
+        F.sum("volume").alias("volume"), F.sum("score").alias("score"), F.sum("predicted").alias("predicted")
     )
 
 
@@ -261,57 +331,54 @@ def recursive_forecast(
 ) -> DataFrame:
     """Forecast per terminal and scenario, one period after the other.
 
-    The state is one row per series. A step is a narrow job over all series at once (no shuffle, no
-    join): features from the maps, both models, and the prediction written back into the maps.
-    The state goes to reliable storage after each step. ``index_base`` has one row: the last index.
+    The state is one row per series; all steps are one expression over it: features from the maps, both models,
+    and the prediction put into the maps for the next step. No shuffle, no join and no job per step.
+    ``index_base`` has one row: the last index.
     """
     steps = steps or (fv.MONTH_HORIZON if horizon.grain == "month" else fv.BIWEEK_HORIZON)
     step_size = 1.0 if horizon.grain == "month" else 0.5
     per_year = horizon.per_year
-    ridge, trees = fit_ridge(panel), fit_trees(panel)
     state = (
         series_state(panel, ratios, horizon)
-        .join(ridge.drop("n"), "terminal_id")
+        .join(fit_models(panel).drop("n"), "terminal_id")
         .withColumn("category", F.lit(fv.FREIGHT_CATEGORY))
-        .join(index_base.select("category", "base"), "category")
+        .join(index_base.select("category", "base").withColumnRenamed("base", "index_base"), "category")
         .select("*", scenario_rows().alias("s"))
         .select("*", "s.*")
         .drop("s")
-        .withColumn("path", F.array().cast(_path_type(["index_raw", "predicted", *FEATURES])))
-        .withColumn("t", F.col("last_idx") + 1)
     )
-    state = cut_lineage(state)
-    # ``t`` is a column, not a literal: every step runs the same generated code
-    t = F.col("t")
-    period = bt.period_of_year(t, per_year)
-    month = bt.month_of_period(period, per_year)
-    raw = F.col("base") * (1 + F.col("rate") * (t - F.col("last_idx")) * step_size)
-    operations = {c: projected_operation(c, t, horizon) for c in OPERATIONS}
-    features = {
-        **projected_volume_features(t, horizon),
-        "weight": season_weight(month),
-        "season_sin": bt.season_sin(period, per_year),
-        "season_cos": bt.season_cos(period, per_year),
-        "index_mom": (raw - F.col("index_last")) / F.col("index_last") * 100,
-    }
-    entry = F.struct(
-        t.cast("int").alias("idx"), raw.alias("index_raw"), F.col("predicted").cast("double").alias("predicted"),
-        *[F.col(c).cast("double").alias(c) for c in FEATURES],
-    )
-    next_state = [
-        *[F.col(c) for c in ("terminal_id", "scenario", "rate", "base", "last_idx", "mean_volume", "fallbacks",
-                             "coefficients", "intercept", "means")],
-        raw.alias("index_last"), (t + 1).alias("t"),
-        extended("m_volume", t, "predicted").alias("m_volume"),
-        *[extended(f"m_{c}", t, c).alias(f"m_{c}") for c in OPERATIONS],
-        F.concat("path", F.array(entry)).alias("path"),
-    ]
-    for _ in range(steps):
-        scored = predict(state.withColumns({**operations, **features}), trees)
-        state = cut_lineage(scored.select(*next_state))
-    out = state.select("terminal_id", "scenario", "coefficients", "means", F.explode("path").alias("p"))
+    entries = ["index_raw", "predicted", *FEATURES]
+
+    def step(acc: Column, k: Column):
+        t = F.col("last_idx") + k
+        period = bt.period_of_year(t, per_year)
+        raw = F.col("index_base") * (1 + F.col("rate") * k * step_size)
+        features = {
+            **{c: projected_operation(c, t, horizon, acc[f"m_{c}"]) for c in OPERATIONS},
+            **projected_volume_features(t, horizon, acc["m_volume"]),
+            "weight": season_weight(bt.month_of_period(period, per_year)),
+            "season_sin": bt.season_sin(period, per_year),
+            "season_cos": bt.season_cos(period, per_year),
+            "index_mom": (raw - acc["index_last"]) / acc["index_last"] * 100,
+        }
+
+        def scored(x: Column) -> Column:
+            predicted = ensemble(tree_prediction(x), ridge_prediction(x)).cast("double")
+            named = {c: F.get(x, F.lit(i)) for i, c in enumerate(FEATURES)}
+            return _packed({"idx": t.cast("int"), "index_raw": raw, "predicted": predicted, **named})
+
+        def after(e: Column) -> dict[str, Column]:
+            maps = {f"m_{c}": _extended(acc[f"m_{c}"], t, e[c]) for c in OPERATIONS}
+            return {"m_volume": _extended(acc["m_volume"], t, e["predicted"]), "index_last": e["index_raw"], **maps}
+
+        return bound(F.array(*[features[c].cast("double") for c in FEATURES]), scored), after
+
+    start = {"m_volume": F.col("m_volume"), "index_last": F.col("index_last").cast("double"), **_operations_state()}
+    path = _walk(start, _entry_type(entries), steps, step)
+    models = ["coefficients", "means", "base", "leaves"]
+    out = state.select("terminal_id", "scenario", *models, F.explode(path).alias("p"))
     return out.select(
-        "terminal_id", "scenario", "coefficients", "means",
+        "terminal_id", "scenario", *models,
         bt.period_year("p.idx", per_year).alias("year"), bt.period_of_year("p.idx", per_year).alias("period"),
         F.col("p.predicted").cast("bigint").alias("volume"),
         *[F.col(f"p.{c}").alias(c) for c in ["idx", "index_raw", *FEATURES]],
@@ -352,11 +419,51 @@ def linear_attribution(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     )
 
 
-def tree_importances(trees: PipelineModel, spark) -> DataFrame:
-    values = trees.stages[-1].featureImportances.toArray().tolist()
-    return spark.createDataFrame(
-        list(zip([*FEATURES, "terminal_id"], values)), "feature string, importance double"
-    ).orderBy(F.desc("importance"), "feature")
+def tree_attribution(rows: DataFrame, keep: Sequence[str], depth: int = fv.TREE_DEPTH) -> DataFrame:
+    """Shapley values of the trees along their own paths, long; they add up to prediction minus mean prediction.
+
+    A leaf knows per feature the share of rows that its path keeps. With ``hit`` 1 or 0 for the row being inside,
+    the value of feature j in a leaf is value * (hit_j - share_j) * integral over t in [0, 1] of the product over the
+    other features of (share + t * (hit - share)). The product has at most ``depth`` - 1 factors, so Gauss-Legendre
+    sums over (depth + 1) // 2 places give the integral exactly.
+    """
+    places, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)
+    nodes = F.array(*[
+        F.struct(F.lit(float((t + 1) / 2)).alias("t"), F.lit(float(w / 2)).alias("w")) for t, w in zip(places, weights)
+    ])
+
+    def parts(x: Column) -> Column:
+        def of_leaf(leaf: Column) -> Column:
+            sides = F.transform(leaf["box"], lambda side: F.struct(
+                side["feature"].alias("feature"), side["share"].alias("share"),
+                (within(x, side).cast("double") - side["share"]).alias("gap")))
+
+            def of_side(all_sides: Column, own: Column) -> Column:
+                def product(node: Column) -> Column:
+                    others = F.filter(all_sides, lambda o: o["feature"] != own["feature"])
+                    return F.aggregate(others, node["w"], lambda p, o: p * (o["share"] + node["t"] * o["gap"]))
+
+                total = F.aggregate(F.transform(nodes, product), F.lit(0.0), lambda a, b: a + b)
+                return F.struct(own["feature"].alias("feature"), (leaf["value"] * own["gap"] * total).alias("part"))
+
+            return bound(sides, lambda every: F.transform(every, lambda own: of_side(every, own)))
+
+        return F.flatten(F.transform("leaves", of_leaf))
+
+    def shares(every: Column) -> Column:
+        def of_feature(i: int) -> Column:
+            mine = F.filter(every, lambda p: p["feature"] == i)
+            return F.aggregate(mine, F.lit(0.0), lambda s, p: s + p["part"])
+
+        return F.array(*[of_feature(i) for i in range(len(FEATURES))])
+
+    values = compute_once(rows, _parts=bound(feature_array(), parts))
+    zipped = F.arrays_zip(
+        F.array(*[F.lit(c) for c in FEATURES]).alias("feature"), feature_array().alias("feature_value"),
+        shares(F.col("_parts")).alias("attribution"),
+    )
+    long = values.select(*keep, F.explode(zipped).alias("z"))
+    return long.select(*keep, "z.feature", "z.feature_value", "z.attribution")
 
 
 def feature_ranking(attributions: DataFrame, keys: Sequence[str] = ("terminal_id",), top: int | None = None) -> DataFrame:

@@ -39,25 +39,40 @@ def fit_ridge_per_terminal(spark, sf):
         "terminal_id", "n", "intercept", *[F.get("coefficients", F.lit(i)).alias(c) for i, c in enumerate(fc.FEATURES)])
 
 
+def with_models(spark, sf):
+    """Training rows, each with both models of its terminal."""
+    rows = fc.complete(stored_panel(spark, sf))
+    return rows.join(fc.fit_models(rows), "terminal_id")
+
+
 @query("fit_gbt")
 def fit_gbt(spark, sf):
     """Predictions of the fitted trees on the training rows."""
-    rows = stored_panel(spark, sf)
-    return fc.fit_trees(rows).transform(rows).select("terminal_id", "idx", "volume", "tree_prediction")
+    return fc.predict(with_models(spark, sf)).select("terminal_id", "idx", "volume", "tree_prediction")
 
 
 @query("ensemble_predict")
 def ensemble_predict(spark, sf):
-    rows = stored_panel(spark, sf)
-    joined = rows.join(fc.fit_ridge(rows).drop("n", "means"), "terminal_id")
-    return fc.predict(joined, fc.fit_trees(rows)).select(
+    return fc.predict(with_models(spark, sf)).select(
         "terminal_id", "idx", "volume", "tree_prediction", "ridge_prediction", "predicted")
 
 
+def held_out(spark, sf, grain="month"):
+    if grain == "month":
+        return fc.validate_holdout(stored_panel(spark, sf), ratios(spark, sf), pq.CUT, 2, 4, HORIZON)
+    rows = stored_panel(spark, sf, "biweek")
+    return fc.validate_holdout(rows, ratios(spark, sf), pq.CUT, 2, 9, fc.Horizon("biweek", pq.CUT))
+
+
 @query("validate_holdout")
 def validate_holdout(spark, sf):
-    held = fc.validate_holdout(stored_panel(spark, sf), ratios(spark, sf), pq.CUT, 2, 4, HORIZON)
-    return pn.regression_metrics(held)
+    return pn.regression_metrics(held_out(spark, sf), predicted="score")
+
+
+@query("validate_holdout_biweekly")
+def validate_holdout_biweekly(spark, sf):
+    """Two-week steps held out, added up to months before they are scored."""
+    return pn.regression_metrics(fc.holdout_by_month(held_out(spark, sf, "biweek")), predicted="score")
 
 
 @query("recursive_forecast")
@@ -67,8 +82,8 @@ def recursive_forecast(spark, sf):
 
 @query("recursive_forecast_biweekly")
 def recursive_forecast_biweekly(spark, sf):
-    """Two-week steps of one terminal, rolled up to months."""
-    rows = stored_panel(spark, sf, "biweek").filter("terminal_id = 'terminal_3'")
+    """Two-week steps of every terminal, rolled up to months."""
+    rows = stored_panel(spark, sf, "biweek")
     out = fc.recursive_forecast(rows, ratios(spark, sf), index_base(spark, sf), fc.Horizon("biweek", pq.CUT))
     return pn.rollup_biweek_to_month(out, keys=("terminal_id", "scenario", "year"))
 
@@ -78,6 +93,14 @@ def forecast_monthly_long(spark, sf):
     return fc.monthly_long(run_forecast(spark, sf))
 
 
+@query("forecast_summary")
+def forecast_summary(spark, sf):
+    """Actual part, forecast part and following year of the recursive forecast, per terminal and scenario."""
+    rows = stored_panel(spark, sf)
+    ahead = fc.recursive_forecast(rows, ratios(spark, sf), index_base(spark, sf), HORIZON)
+    return pn.forecast_annual_summary(rows, ahead, pq.CUT)
+
+
 @query("feature_attribution")
 def feature_attribution(spark, sf):
     rows = stored_panel(spark, sf)
@@ -85,6 +108,97 @@ def feature_attribution(spark, sf):
     return fc.linear_attribution(joined, ["terminal_id", "year", "period"])
 
 
+@query("tree_attribution")
+def tree_attribution(spark, sf):
+    return fc.tree_attribution(with_models(spark, sf), ["terminal_id", "year", "period"])
+
+
+@query("scenario_attribution")
+def scenario_attribution(spark, sf):
+    """Attribution of the forecast rows, by the trees and by the linear model."""
+    keep = ["terminal_id", "scenario", "year", "period"]
+    ahead = run_forecast(spark, sf)
+    linear = fc.linear_attribution(ahead, keep).withColumnRenamed("attribution", "linear_attribution")
+    trees = fc.tree_attribution(ahead, keep).withColumnRenamed("attribution", "tree_attribution")
+    return trees.join(linear.drop("feature_value"), [*keep, "feature"])
+
+
+@query("tree_feature_ranking")
+def tree_feature_ranking(spark, sf):
+    """Features by the mean absolute attribution of the fitted trees."""
+    return fc.feature_ranking(fc.tree_attribution(with_models(spark, sf), ["terminal_id"]))
+
+
+# ------------------------------------------------------------------ what holds of every model, whatever its numbers
+
+ALPHA = fv.RIDGE_ALPHA
+
+
+@query("ridge_invariants", f"""WITH {pq.PANEL_SQL}, k AS (SELECT unnest({list(fv.FEATURES)!r}) AS feature)
+SELECT terminal_id, feature, count(*) AS n, round(avg(volume) + 1e-9, 4) AS mean_prediction, 0.0::DOUBLE AS gap
+FROM panel, k WHERE volume IS NOT NULL GROUP BY 1, 2""")
+def ridge_invariants(spark, sf):
+    """The mean prediction is the mean volume, and per feature the normal equation leaves no gap."""
+    rows = with_models(spark, sf).withColumn("p", fc.ridge_prediction())
+    long = rows.select("terminal_id", "p", "volume", F.posexplode(F.arrays_zip(
+        F.array(*[F.lit(c) for c in fc.FEATURES]).alias("feature"), fc.feature_array().alias("x"),
+        F.col("means").alias("m"), F.col("coefficients").alias("c"))).alias("i", "z"))
+    x = F.col("z.x") - F.col("z.m")
+    sums = long.groupBy("terminal_id", F.col("z.feature").alias("feature")).agg(
+        F.count("*").alias("n"), F.avg("p").alias("mean_prediction"), F.sum(x * (F.col("volume") - F.col("p"))).alias("pull"),
+        (F.first("z.c") * ALPHA).alias("penalty"), F.sum(F.abs(x * F.col("volume"))).alias("scale"))
+    gap = F.round((F.col("pull") - F.col("penalty")) / (F.col("scale") + 1), 6) + F.lit(0.0)
+    return pq.rounded(sums, "mean_prediction").select("terminal_id", "feature", "n", "mean_prediction", gap.alias("gap"))
+
+
+@query("tree_invariants", f"""WITH {pq.PANEL_SQL}
+SELECT terminal_id, idx, 0.0::DOUBLE AS gap, TRUE AS whole FROM panel WHERE volume IS NOT NULL""")
+def tree_invariants(spark, sf):
+    """Attributions add up to prediction minus mean prediction; the ensemble is the whole part of the mean, not negative."""
+    rows = fc.predict(with_models(spark, sf))
+    keep = ["terminal_id", "idx", "tree_prediction", "score", "predicted"]
+    sums = fc.tree_attribution(rows, keep).groupBy(*keep).agg(F.sum("attribution").alias("total"))
+    means = rows.groupBy("terminal_id").agg(F.avg("tree_prediction").alias("mean"))
+    gap = F.round(F.col("total") - (F.col("tree_prediction") - F.col("mean")), 6) + F.lit(0.0)
+    whole = (F.col("predicted") >= 0) & (F.col("predicted") == F.greatest(F.lit(0.0), F.col("score")).cast("bigint"))
+    return sums.join(means, "terminal_id").select("terminal_id", "idx", gap.alias("gap"), whole.alias("whole"))
+
+
+@query("holdout_invariants", f"""WITH {pq.PANEL_SQL}
+SELECT terminal_id, idx, CAST(volume AS DOUBLE) AS volume, TRUE AS scored FROM panel
+WHERE year = {pq.CUT} AND month BETWEEN 3 AND 6 AND volume IS NOT NULL""")
+def holdout_invariants(spark, sf):
+    """Every held-out month of every terminal that has earlier months, and no other, gets a prediction."""
+    return held_out(spark, sf).select(
+        "terminal_id", "idx", F.col("volume").cast("double").alias("volume"), F.col("score").isNotNull().alias("scored"))
+
+
+RATES = " UNION ALL ".join(f"SELECT '{n}' AS scenario, {r}::DOUBLE AS rate" for n, r in fv.SCENARIO_STEP.items())
+
+
+@query("forecast_invariants", f"""WITH {pq.PANEL_SQL}, s AS ({RATES}),
+start AS (SELECT arg_max(index_raw, year * 100 + period) AS first_index FROM index_m),
+ends AS (SELECT terminal_id, max(idx) AS last_idx, arg_max(index_raw, idx) AS index_last FROM panel GROUP BY 1),
+steps AS (SELECT *, last_idx + k AS idx, first_index * (1 + rate * k) AS index_raw,
+  CASE WHEN k = 1 THEN index_last ELSE first_index * (1 + rate * (k - 1)) END AS index_before
+  FROM ends, s, start, range(1, {fv.MONTH_HORIZON + 1}) r(k))
+SELECT t.terminal_id, scenario, CAST(t.idx // 12 AS INT) AS year, CAST(t.idx % 12 + 1 AS INT) AS period,
+  round(t.index_raw + 1e-9, 4) AS index_raw, round((t.index_raw - index_before) / index_before * 100 + 1e-9, 4) AS index_mom,
+  {pq.sql_case(fv.SEASON_WEIGHTS, "(t.idx % 12 + 1)")}::DOUBLE AS weight,
+  round(CAST(ago.volume AS DOUBLE) + 1e-9, 4) AS year_ago, TRUE AS follows
+FROM steps t LEFT JOIN panel ago ON ago.terminal_id = t.terminal_id AND ago.idx = t.idx - 12""")
+def forecast_invariants(spark, sf):
+    """Index, seasonal weight and last year's volume of every forecast row; both models give its volume again."""
+    rows = stored_panel(spark, sf)
+    ahead = fc.recursive_forecast(rows, ratios(spark, sf), index_base(spark, sf), HORIZON)
+    again = fc.predict(ahead.join(fc.fit_ridge(rows).select("terminal_id", "intercept"), "terminal_id"))
+    ago = rows.select("terminal_id", (F.col("idx") + 12).alias("idx"), F.col("volume").cast("double").alias("year_ago"))
+    out = again.join(ago, ["terminal_id", "idx"], "left").select(
+        "terminal_id", "scenario", "year", "period", "index_raw", "index_mom", F.col("weight").cast("double").alias("weight"),
+        "year_ago", (F.col("predicted") == F.col("volume")).alias("follows"))
+    return out.withColumns({c: F.round(F.col(c) + float(pq.EPSILON), 4) + F.lit(0.0) for c in ["index_raw", "index_mom", "year_ago"]})
+
+
 LONG_SQL = " UNION ALL ".join(
     f"SELECT terminal_id, '{c}' AS feature, ({c} - avg({c}) OVER (PARTITION BY terminal_id))::DOUBLE AS attribution FROM panel" for c in fv.FEATURES)
 

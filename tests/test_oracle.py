@@ -11,7 +11,8 @@ SF = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 QUERIES = load_all()
 # the models take long; tests/test_forecast.py runs them
 SLOW = {"recursive_forecast", "recursive_forecast_biweekly", "forecast_monthly_long", "validate_holdout", "fit_gbt",
-        "ensemble_predict", "feature_attribution", "fit_ridge_per_terminal"}
+        "ensemble_predict", "feature_attribution", "fit_ridge_per_terminal", "validate_holdout_biweekly", "forecast_summary",
+        "tree_attribution", "scenario_attribution", "tree_feature_ranking"}
 
 
 @pytest.fixture(scope="module")
