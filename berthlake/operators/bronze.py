@@ -36,10 +36,16 @@ def apply_header_rule(sheets: DataFrame) -> DataFrame:
     )
 
 
+SHORT_ESCAPES = {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
+
+
 def _escaped(c: Column) -> Column:
+    """Text inside a JSON string: backslash, quote and every control character; the latter are rare and tried for first."""
     out = F.replace(c, F.lit("\\"), F.lit("\\\\"))
-    out = F.replace(out, F.lit('"'), F.lit('\\"'))
-    return F.replace(out, F.lit("\n"), F.lit("\\n"))
+    out = plain = F.replace(out, F.lit('"'), F.lit('\\"'))
+    for char in map(chr, range(32)):
+        out = F.replace(out, F.lit(char), F.lit(SHORT_ESCAPES.get(char, f"\\u{ord(char):04x}")))
+    return F.when(c.rlike("[\\x00-\\x1f]"), out).otherwise(plain)
 
 
 def json_names(names: Column) -> Column:

@@ -42,21 +42,22 @@ def berth_occupancy(
 ) -> DataFrame:
     """Percentage of berth hours in use per terminal and period (the period of the departure).
 
-    A whole stay counts for the period of its departure, so the value can exceed 100.
+    A whole stay counts for the period of its departure, so the value can exceed 100. Stays without a berth make one
+    more berth, whose hours count as available and never as busy: nobody knows what they overlap.
     """
     period = "month" if grain == "month" else "biweek"
     groups = ["terminal_id", "year", period]
     stays = calls.withColumn("year", F.year("etd")).withColumn(
         period, F.month("etd") if grain == "month" else bt.biweek("etd")
     )
-    # a missing berth is a berth of its own, as in a group-by
     islands = interval_islands(stays, [*groups, "berth"], range_rows=range_rows)
     per_berth = islands.groupBy(*groups, "berth").agg(
         F.sum(bt.seconds_between("eta", "etd")).alias("busy_seconds")
     )
     days = bt.days_in_month("year", period) if grain == "month" else F.lit(14)
     return per_berth.groupBy(*groups).agg(
-        F.count("*").alias("berth_count"), F.sum("busy_seconds").alias("busy_seconds")
+        F.count("*").alias("berth_count"),
+        F.sum(F.when(F.col("berth").isNotNull(), F.col("busy_seconds")).otherwise(0)).alias("busy_seconds"),
     ).select(
         *groups,
         (F.col("busy_seconds") / 3600 / (F.col("berth_count") * days * 24.0) * 100).alias(

@@ -53,7 +53,8 @@ occ_islands AS (
   SELECT terminal_id, year, {period} AS period, berth, epoch(max(etd)) - epoch(min(eta)) AS busy
   FROM occ_numbered GROUP BY terminal_id, year, {period}, berth, island),
 occ AS (
-  SELECT terminal_id, year, period, sum(busy) / 3600 / (count(DISTINCT berth) * {denominator} * 24.0) * 100 AS berth_occupancy
+  SELECT terminal_id, year, period, sum(CASE WHEN berth IS NULL THEN 0 ELSE busy END) / 3600
+    / ((count(DISTINCT berth) + max(CASE WHEN berth IS NULL THEN 1 ELSE 0 END)) * {denominator} * 24.0) * 100 AS berth_occupancy
   FROM occ_islands GROUP BY terminal_id, year, period)"""
 
 

@@ -35,3 +35,26 @@ def test_vectors_with_a_missing_month(spark):
     df = spark.createDataFrame([("a", "Flat", 2025 * 12 + 10, [1, None, 3])], "terminal_id string, scenario string, first_idx int, volumes array<int>")
     got = [(r["year"], r["month"], str(r["month_date"]), r["volume"]) for r in fc.forecast_long(df).orderBy("month_date").collect()]
     assert got == [(2025, 11, "2025-11-01", 1), (2026, 1, "2026-01-01", 3)]
+
+
+def test_row_json_escapes_every_control_character(spark):
+    import json
+
+    from berthlake.operators import bronze
+
+    texts = ["plain", 'a"b\\c', "tab\there", "line\r\nnext", *(f"x{chr(i)}y" for i in range(32)), "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = df.select("v", bronze.row_json(bronze.json_names(bronze.F.array(bronze.F.lit("n\t1"))), bronze.F.array("v")).alias("j")).collect()
+    for r in got:
+        assert r["j"] == json.dumps({"n\t1": r["v"] if r["v"] is not None else float("nan")})
+
+
+def test_stays_without_a_berth_are_never_busy(spark):
+    from berthlake.operators import intervals
+
+    calls = spark.createDataFrame(
+        [("t", "1", "2024-04-01 00:00:00", "2024-04-04 00:00:00"), ("t", None, "2024-04-01 00:00:00", "2024-04-11 00:00:00"),
+         ("u", None, "2024-04-02 00:00:00", "2024-04-03 00:00:00")], "terminal_id string, berth string, eta string, etd string")
+    calls = calls.selectExpr("terminal_id", "berth", "CAST(eta AS timestamp_ntz) AS eta", "CAST(etd AS timestamp_ntz) AS etd")
+    got = {r["terminal_id"]: round(r["berth_occupancy"], 6) for r in intervals.berth_occupancy(calls).collect()}
+    assert got == {"t": 5.0, "u": 0.0}  # 3 of 2 x 30 days; the berth that nobody knows is there, and empty
