@@ -21,6 +21,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from berthlake.llm.columns import sets_aside
 from berthlake.llm.storage import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -93,6 +94,7 @@ def source_budgets(sized: DataFrame, budget: int | None, max_repeats: float | No
     return stats.withColumn("budget", F.floor(F.col("weight") * F.lit(whole) + 0.5))
 
 
+@sets_aside("_source", "_tokens", "_budget", "_full", "_rest", "_slices", "_u", "_slice", "_sum", "_first", "_before")
 def mix(docs: DataFrame, budget: int | None = None, max_repeats: float | None = MAX_REPEATS, entropy: float | None = None,
         block_tokens: int = BLOCK_TOKENS, seed: str = "mix", key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The rows of the mixture: the input's columns, with ``n_tokens``, ``epoch``, ``block`` and ``mix_order``."""

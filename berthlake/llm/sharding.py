@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from berthlake.llm.columns import sets_aside
+
 # slots are numbered in this many slices of a shard, so that no task holds a whole shard
 SLICES = 4096
 
@@ -37,6 +39,7 @@ def jump_shard(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, step, lambda state: state["at"])
 
 
+@sets_aside("_slice", "_rows", "_first", "_at")
 def assign(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Add ``size`` (UTF-8 bytes plus 1), ``text_crc32``, ``shard``, ``slot`` (gapless in the shard) and ``grown_shard``.
 

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from berthlake.llm.columns import sets_aside
+
 PREFIX_HEX = 8
 
 
@@ -58,6 +60,7 @@ def expressions(host: Column, path: Column, labels: int, folders: int) -> Column
     return F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, p))))
 
 
+@sets_aside("_url", "_best")
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str = "url") -> DataFrame:
     """Add ``host``, ``path``, ``rule`` (null without one) and ``verdict``.
 

@@ -25,6 +25,21 @@ def table(spark, texts, ids=None):
     return spark.createDataFrame(rows, SCHEMA)
 
 
+def clashing(df, names):
+    """The table with a column more for each name, in both cases of letters in turn."""
+    return df.withColumns({n.upper() if i % 2 else n: F.concat(F.lit(f"own {n} "), F.col("doc_id")) for i, n in enumerate(names)})
+
+
+def same_with_clashes(plain, operate, names):
+    """The operator gives the same rows beside input columns called like its own ones, and hands those on unchanged."""
+    added = [c for c in clashing(plain, names).columns if c not in plain.columns]
+    want, got = operate(plain), operate(clashing(plain, names))
+    assert set(want.columns) | set(added) == set(got.columns)
+    assert sorted(map(str, want.collect())) == sorted(map(str, got.select(*want.columns).collect()))
+    for r in got.select("doc_id", *added).collect():
+        assert all(r[c] == f"own {c.lower()} {r['doc_id']}" for c in added)
+
+
 def sentence(r, n):
     return " ".join("".join(r.choice("abcdeé") for _ in range(r.randint(1, 5))) for _ in range(n))
 
@@ -398,3 +413,27 @@ def test_registered_sql(spark):
     for name in registry.SQL:
         count, problem = compare(spark, con, Query(registry.QUERIES[name], registry.SQL[name]), "/root/testdata/sf0.001")
         assert count and not problem, (name, problem)
+
+
+def test_clashing_input_columns(spark, texts):
+    """Input columns called like the native operators' own ones."""
+    docs = table(spark, [*texts[:12], "mail me at a.b@c.example or +49 30 1234567", "", texts[0]])
+    same_with_clashes(docs, lambda d: sharding.assign(d, 4), ["_slice", "_rows", "_first", "_at"])
+    same_with_clashes(docs, mixing.mix, [
+        "_source", "_tokens", "_budget", "_full", "_rest", "_slices", "_u", "_slice", "_sum", "_first", "_before"])
+    none = pii.Model([], {})  # base spans only, so that nothing is fitted here
+    same_with_clashes(docs, lambda d: pii.find(d, none), ["_base", "_wide", "_once", "_text"])
+    same_with_clashes(docs, lambda d: pii.redact(d, none), ["_s", "pii_base", "pii_spans", "_base", "_wide", "_once", "_text"])
+    pages = docs.withColumn("url", F.concat(F.lit("http://a.example.com/de/"), F.col("doc_id")))
+    rules = spark.createDataFrame([("example.com", "/de/1", "block")], "host string, path string, verdict string")
+    names = ["_url", "_best", "_rule", "_rule_host", "_rule_path", "_verdict", "_digest", "_short", "_labels", "_folders", "_path",
+             "_expr", "_asked", "_host"]
+    same_with_clashes(pages, lambda d: url_filters.judge(d, rules), names)
+
+
+def test_keys_called_like_own_columns(spark, texts):
+    docs = table(spark, texts[:8])
+    want = {(r["doc_id"], r["shard"], r["slot"]) for r in sharding.assign(docs, 4).collect()}
+    renamed = docs.withColumnsRenamed({"doc_id": "_at", "text": "_slice"})
+    got = sharding.assign(renamed, 4, key="_at", text="_slice")
+    assert {"_at", "_slice"} <= set(got.columns) and {(r["_at"], r["shard"], r["slot"]) for r in got.collect()} == want
