@@ -88,3 +88,15 @@ def test_workbook_dates_and_gaps():
             dst.writestr(n, sheet if n.endswith("sheet1.xml") else src.read(n))
         dst.writestr("xl/styles.xml", styles)
     assert parsers.xlsx_table(out.getvalue()) == [[None] * 4, [None, "2026-06-26 10:30:00", None, "12"]]
+
+
+def test_encoding_of_a_page_with_a_misspelt_label():
+    from berthlake.sources import parsers
+
+    page = '<meta charset="udf-8"><table><tr><th>부두</th></tr><tr><td>신선대 é</td></tr></table>'
+    assert parsers.encoding_of(page.encode()) == "utf-8" and parsers.encoding_of(b"") == "utf-8"
+    korean = page.replace(" é", "").encode("cp949")
+    assert parsers.encoding_of(korean) == "cp949" and "신선대" in str(korean, "cp949")
+    # one spoilt byte makes a page no UTF-8; what the code page does not know is replaced
+    spoilt = page.encode() + b"\xff"
+    assert parsers.encoding_of(spoilt) == "cp949" and str(spoilt, "cp949", "replace")
