@@ -1,8 +1,9 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, on numpy arrays.
 
 Suffixes are classified as smaller (S) or larger (L) than their right neighbour. The leftmost S suffixes (LMS) are sorted by
-one induction, named, sorted as a text of names, and a second induction gives the whole array. An induction walks over
-the buckets of the first character; all entries of a bucket that are ready induce their left neighbours at once.
+one induction, named, sorted recursively as a text of names, and a second induction gives the whole array. An induction over
+bytes walks over the buckets of the first character, where all entries that are ready induce their left neighbours at once; one
+over many names goes entry by entry.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import numpy as np
 
 from berthlake.llm import arrays
 
+FEW_LETTERS = 512
 
 def _grouped(chars: np.ndarray, letters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Stable order by character, each entry's number in its group, the groups' characters and sizes."""
@@ -82,29 +84,42 @@ def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray, starts: np.nda
     return sa
 
 
-def _by_doubling(names: np.ndarray) -> np.ndarray:
-    """Suffix array of a text over a large alphabet, where buckets are too many to be walked over one by one."""
-    rank, step, n = names.astype(np.int64), 1, len(names)
-    while True:
-        later = np.zeros(n, np.int64)
-        later[: max(n - step, 0)] = rank[step:] + 1
-        key = rank * (n + 2) + later
-        order = np.argsort(key)
-        fresh = np.empty(n, np.int64)
-        fresh[order] = np.cumsum(np.concatenate([[0], (np.diff(key[order]) != 0).astype(np.int64)]))
-        rank = fresh
-        if rank[order[-1]] == n - 1:
-            return order
-        step *= 2
+def _induce_one_by_one(text: np.ndarray, small: np.ndarray, lms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """As ``_induce``, entry by entry: for texts of names, whose many buckets hold an entry or two each."""
+    n = len(text)
+    chars, is_small = text.tolist(), small.tolist()
+    sa = [-1] * n
+    tails = ends.tolist()
+    for i in lms[::-1].tolist():
+        tails[chars[i]] -= 1
+        sa[tails[chars[i]]] = i
+    heads = starts.tolist()
+    for i in range(n):
+        left = sa[i] - 1
+        if left >= 0 and not is_small[left]:
+            c = chars[left]
+            sa[heads[c]] = left
+            heads[c] += 1
+    tails = ends.tolist()
+    for i in range(n - 1, -1, -1):
+        left = sa[i] - 1
+        if left >= 0 and is_small[left]:
+            c = chars[left]
+            tails[c] -= 1
+            sa[tails[c]] = left
+    sa[0] = n - 1
+    return np.array(sa, np.int64)
 
 
 def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
     """Positions of the sorted suffixes of a text over 1 to ``letters``; a final 0 is added and its suffix left out."""
-    text = np.append(text, 0).astype(np.uint16)
+    few = letters <= FEW_LETTERS
+    induce = _induce if few else _induce_one_by_one
+    text = np.append(text, 0).astype(np.uint16 if few else np.int64)
     n = len(text)
     if n < 3:
         return np.arange(n - 1)
-    change = np.diff(text.astype(np.int32))
+    change = np.diff(text.astype(np.int64))
     decided = np.where(change != 0, np.arange(n - 1), n)
     decided = np.minimum.accumulate(decided[::-1])[::-1]
     small = np.ones(n, bool)
@@ -116,7 +131,7 @@ def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
     sizes = np.bincount(text, minlength=letters + 1)
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    sa = _induce(text, small, lms, starts, ends)
+    sa = induce(text, small, lms, starts, ends)
     ordered = sa[is_lms[sa]]
     # name the LMS substrings: equal ones, including the LMS character at their end, get the same name
     finish = np.zeros(n, np.int64)
@@ -132,29 +147,51 @@ def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
     if names[-1] < len(ordered):
         named = np.zeros(n, np.int64)
         named[ordered] = names
-        short = named[lms]
-        deeper = suffix_array(short, int(names[-1])) if names[-1] <= 2048 else _by_doubling(short)
+        deeper = suffix_array(named[lms], int(names[-1]))
         ordered = lms[deeper]
-    return _induce(text, small, ordered, starts, ends)[1:]
+    return induce(text, small, ordered, starts, ends)[1:]
 
 
-def repeated_starts(data: np.ndarray, size: int) -> np.ndarray:
-    """True at each position whose next ``size`` bytes also start elsewhere in ``data``.
+def permuted_prefixes(data: np.ndarray, sa: np.ndarray) -> np.ndarray:
+    """By text position: bytes that a suffix has in common with the one before it in the suffix array.
 
-    The predecessor of each suffix in the suffix array is kept by text position (permuted), and the prefix that both have in
-    common is compared with ``size`` in text order, on span hashes.
+    Where the bytes left of both suffixes differ, the prefix is found by bisection on span hashes. Everywhere else it is one
+    byte shorter than that of the position on the left, whose predecessor lies one byte to the left, too.
     """
     n = len(data)
+    before = np.full(n, -1, np.int64)
+    before[sa[1:]] = sa[:-1]
+    own = np.ones(n, bool)
+    inner = np.flatnonzero(before[1:] > 0) + 1
+    own[inner] = data[inner - 1] != data[before[inner] - 1]
+    at = np.flatnonzero(own)
+    other = before[at]
+    low = np.zeros(len(at), np.int64)
+    high = np.where(other >= 0, n - np.maximum(at, other), 0)
+    sums = arrays.prefix_sums(data)
+    todo = np.flatnonzero(low < high)
+    while len(todo):
+        middle = (low[todo] + high[todo] + 1) // 2
+        i, j = at[todo], other[todo]
+        same = arrays.span_hashes(sums, i, i + middle) == arrays.span_hashes(sums, j, j + middle)
+        low[todo[same]] = middle[same]
+        high[todo[~same]] = middle[~same] - 1
+        todo = todo[low[todo] < high[todo]]
+    last = np.maximum.accumulate(np.where(own, np.arange(n), 0))
+    found = np.zeros(n, np.int64)
+    found[at] = low
+    return found[last] - (np.arange(n) - last)
+
+
+def repeated_starts(data: np.ndarray, size: int) -> np.ndarray:
+    """True at each position whose next ``size`` bytes also start elsewhere in ``data``: the suffix shares them with the one
+    before it in the suffix array, or with the one after."""
+    n = len(data)
     out = np.zeros(n, bool)
     if n <= size:
         return out
     sa = suffix_array(data.astype(np.uint16) + np.uint16(1), 256)
-    before = np.full(n, -1, np.int64)
-    before[sa[1:]] = sa[:-1]
-    sums = arrays.prefix_sums(data)
-    at = np.flatnonzero((before[: n - size + 1] >= 0) & (before[: n - size + 1] <= n - size))
-    other = before[at]
-    hit = arrays.span_hashes(sums, at, at + size) == arrays.span_hashes(sums, other, other + size)
-    out[at[hit]] = True
-    out[other[hit]] = True
+    long = permuted_prefixes(data, sa) >= size
+    out |= long
+    out[sa[:-1][long[sa[1:]]]] = True
     return out
