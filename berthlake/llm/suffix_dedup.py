@@ -2,17 +2,19 @@
 
 A string of ``size`` bytes is cut out wherever it occurs if it starts at two places or more, in one text or in two.
 
-1. Every window of ``size`` bytes has an anchor: the 64-byte gram inside it with the lowest hash, the leftmost if it
-   occurs twice. Equal windows have equal anchors at equal places, so they meet if rows are dealt out by anchor.
+1. Every window of ``size`` bytes has an anchor: the gram of half as many bytes inside it with the lowest hash, the leftmost if
+   it occurs twice. Equal windows have equal anchors at equal places, so they meet if rows are dealt out by anchor.
    Windows that follow each other and have the same anchor are one segment.
-2. Anchors that occur once are done with. Segments of equal content are one row with a count, and only one text
-   per segment sends its bytes, so exact copies cost a row each and not their text.
-3. A shard takes the segments of its anchors. Windows whose hash is alone under its anchor are cut off at once; what
-   stands is put in blocks of bounded size, each piece twice at most, and a suffix array by induced sorting with
-   permuted common prefixes finds the windows that start at two places.
-4. Hits go back to the texts as byte intervals, and each text is cut once.
+2. Anchors that occur once are done with. Segments of equal content are one unit with a count, and only one text per unit
+   sends its bytes. An anchor with a single unit is a plain copy: all its windows repeat.
+3. The units of all other anchors are put in blocks of bounded size. A suffix array by induced sorting with permuted common
+   prefixes finds the windows of a block that start at two places.
+4. An anchor whose units exceed a block (a passage that many texts share in different surroundings) is not dealt to a task. Its units
+   are cut into pieces of fewer windows, whose anchor is all that the windows of a piece have in common: first ``PIECE`` windows, then
+   one. Most pieces are alone then; the others go through steps 2 and 3 again.
+5. Hits go back to the texts as byte intervals, and each text is cut once.
 
-Memory of a task is bounded by the block and by the distinct segments of one anchor (about 0.6 kB each).
+Memory of a task is bounded by two blocks; joins by anchor and by unit are salted, so no key is tied to one task.
 
 Edge cases: null and empty texts have no bytes; a text shorter than ``size`` is never cut; a repeated row is a copy
 like any other, so all its windows occur twice; an empty table gives no rows. What is kept may begin or end
@@ -32,23 +34,27 @@ from berthlake.llm import arrays, suffixes
 from berthlake.llm.storage import stored
 
 SIZE = 400
-GRAM = 64
 BLOCK_BYTES = 1 << 20
+PIECE = 25                 # windows of a piece of a segment whose anchor has more than a block
+SALTS = 8
+STRETCH = 1 << 26          # windows of a text that are worked on at once
 FILTER_BITS = 1 << 22
+SEGMENT = "key bigint, at int, n int, anchor bigint, digest bigint, copies bigint"
 
 
 def anchored(data: np.ndarray, offsets: np.ndarray, size: int):
     """Per segment: its text, first window, number of windows (text positions), anchor hash and content hash."""
-    span = size - GRAM + 1  # grams per window
+    gram = max(size // 2, 1)
+    span = size - gram + 1  # grams per window
     n = len(data)
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     lengths = np.diff(offsets)
     if not (lengths >= size).any():
         return none
     sums = arrays.prefix_sums(data)
-    grams = n - GRAM + 1
+    grams = n - gram + 1
     places = np.arange(grams)
-    hashes = arrays.span_hashes(sums, places, places + GRAM)
+    hashes = arrays.span_hashes(sums, places, places + gram)
     # 36 bits of hash above 28 bits of place: the lowest is the leftmost of the lowest grams
     packed = (hashes >> np.uint64(28) << np.uint64(28)) | places.astype(np.uint64)
     rows = -(-grams // span)
@@ -82,10 +88,15 @@ def segment_rows(size: int):
             keys, index, copies = np.unique(batch.column(0).to_numpy(), return_index=True, return_counts=True)
             texts = batch.column(1).take(pa.array(index))
             for first, end, data, offsets in arrays.slices(texts):
-                owner, start, count, anchor, digest = anchored(data, offsets, size)
-                if len(owner):
+                # more than one stretch only if the slice is a single text
+                for base in range(0, max(len(data), 1), STRETCH) if end - first == 1 else (0,):
+                    part = data[base: base + STRETCH + size - 1] if end - first == 1 else data
+                    bounds = np.array([0, len(part)]) if end - first == 1 else offsets
+                    owner, start, count, anchor, digest = anchored(part, bounds, size)
+                    if not len(owner):
+                        continue
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[first + owner]), pa.array((start - offsets[owner]).astype(np.int32)),
+                        [pa.array(keys[first + owner]), pa.array((start - bounds[owner] + base).astype(np.int32)),
                          pa.array(count.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(digest.view(np.int64)),
                          pa.array(copies[first + owner].astype(np.int64))],
                         names=["key", "at", "n", "anchor", "digest", "copies"])
@@ -111,83 +122,84 @@ def cut_segments(size: int):
     return run
 
 
-def alone_cut_off(group: list[tuple], size: int) -> list[tuple[tuple, int, int]]:
-    """(segment, first, end) of the window runs of one anchor's segments whose hashes occur twice."""
-    data = np.frombuffer(b"".join(g[3] for g in group), np.uint8)
-    counts = np.array([g[1] for g in group])
-    bases = np.concatenate([[0], np.cumsum(counts + size - 1)[:-1]])
-    owner = np.repeat(np.arange(len(group)), counts)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = bases[owner] + number
-    sums = arrays.prefix_sums(data)
-    hashes = arrays.span_hashes(sums, start, start + size)
-    kinds, inverse = np.unique(hashes, return_inverse=True)
-    times = np.bincount(inverse, weights=np.array([g[2] for g in group], np.float64)[owner], minlength=len(kinds))
-    hit = times[inverse] > 1.5
-    at = np.flatnonzero(hit)
-    if not len(at):
-        return []
-    new = np.ones(len(at), bool)
-    new[1:] = (np.diff(at) != 1) | (owner[at][1:] != owner[at][:-1])
-    first = np.flatnonzero(new)
-    ends = np.append(first[1:], len(at)) - 1
-    return [(group[owner[at[a]]], int(number[at[a]]), int(number[at[b]]) + 1) for a, b in zip(first, ends)]
-
-
-def block_hits(runs: list[tuple[tuple, int, int]], size: int) -> list[tuple[int, int, int, int]]:
-    """(anchor, digest, first, end) of windows that start at two places, by the suffix array of all pieces."""
-    pieces: dict[bytes, list] = {}
-    for run in runs:
-        segment, first, end = run
-        pieces.setdefault(segment[3][first: end + size - 1], []).append(run)
-    text, places, at = [], [], 0
-    for body, owners in pieces.items():
-        places.append(at)
-        # a piece of several places stands twice, which is enough to make all its windows repeat
-        for _ in range(min(2, sum(o[0][2] for o in owners))):
-            text.append(body)
-            at += len(body) + 1
-    data = np.frombuffer(b"\xff".join(text), np.uint8)  # no byte of UTF-8 is 0xff
-    repeat = suffixes.repeated_starts(data, size)
+def gram_place(sums: np.ndarray, anchor: int, size: int) -> int:
+    """Place of a segment's anchor in it: the first gram with that hash, as every window of the segment holds it."""
+    gram = max(size // 2, 1)
+    at = np.arange(min(size, len(sums) - 1) - gram + 1)
+    return int(np.flatnonzero(arrays.span_hashes(sums, at, at + gram).view(np.int64) == anchor)[0])
+
+
+def cut_pieces(size: int, width: int):
+    """Batches of (key, text, parts): the parts in pieces of up to ``width`` windows, at places counted from the part's start, each
+    with the hash of what all windows of such a piece share as its anchor. Pieces keep to a grid that hangs on the part's anchor, so
+    that equal windows are in equal columns of it; a piece of one window needs no grid."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, parts = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            data, offsets = arrays.buffer(batch.column(1))
+            for i, own in enumerate(parts):
+                for p in own:
+                    raw = data[offsets[i] + p["at"]: offsets[i] + p["at"] + p["n"] + size - 1]
+                    sums = arrays.prefix_sums(raw)
+                    windows = np.arange(p["n"])
+                    # a window that starts d bytes before its anchor is in column d // width of the grid
+                    place = 0 if width == 1 else gram_place(sums, p["anchor"], size)
+                    column = (place - windows) // width
+                    first = np.flatnonzero(np.diff(column, prepend=column[0] + 1))
+                    end = np.append(first[1:], p["n"])
+                    column = column[first]
+                    shared = arrays.span_hashes(sums, place - column * width, place - (column + 1) * width + 1 + size)
+                    if width > 1:
+                        shared = arrays.mix(shared + column.astype(np.uint64))
+                    digest = arrays.span_hashes(sums, first, end + size - 1)
+                    k = len(first)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([keys[i]] * k, pa.int64()), pa.array((p["at"] + first).astype(np.int32)),
+                         pa.array((end - first).astype(np.int32)), pa.array(shared.view(np.int64)), pa.array(digest.view(np.int64)),
+                         pa.array([p["copies"]] * k, pa.int64()), pa.array([p["anchor"]] * k, pa.int64()),
+                         pa.array([p["digest"]] * k, pa.int64()), pa.array(first.astype(np.int32))],
+                        names=["key", "at", "n", "anchor", "digest", "copies", "whole_anchor", "whole_digest", "whole_at"])
+
+    return run
+
+
+def block_hits(units: list[tuple], size: int) -> list[tuple[int, int, int, int]]:
+    """(anchor, digest, first, end) of windows that start at two places, by the suffix array of all units of a block."""
+    places = np.cumsum([0] + [len(u[4]) + 1 for u in units])
+    repeat = suffixes.repeated_starts(np.frombuffer(b"\xff".join(u[4] for u in units), np.uint8), size)  # no byte of UTF-8 is 0xff
     out = []
-    for (body, owners), place in zip(pieces.items(), places):
-        edge = np.flatnonzero(np.diff(repeat[place: place + len(body) - size + 1].astype(np.int8), prepend=0, append=0))
-        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-            out += [(o[0][4], o[0][0], o[1] + a, o[1] + b) for o in owners]
+    for (anchor, digest, n, copies, _), place in zip(units, places):
+        if copies > 1:  # all its windows start elsewhere, too
+            out.append((anchor, digest, 0, n))
+            continue
+        edge = np.flatnonzero(np.diff(repeat[place: place + n].astype(np.int8), prepend=0, append=0))
+        out += [(anchor, digest, a, b) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
     return out
 
 
 def shard_hits(size: int):
-    """Batches of segments sorted by anchor: the windows that repeat, per segment."""
+    """Batches of units sorted by anchor: the windows that repeat, per unit. No anchor has more than a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def given(hits):
-            cols = list(zip(*hits)) or [[]] * 4
+        def given(units):
+            cols = list(zip(*block_hits(units, size))) or [[]] * 4
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
                 names=["anchor", "digest", "first", "end"])
 
-        runs, held, group, anchor = [], 0, [], None
-
-        def closed():
-            nonlocal runs, held, group
-            found = alone_cut_off(group, size) if group else []
-            group = []
-            runs += found
-            held += sum(e - f + size for _, f, e in found)
-
+        units, held, anchor = [], 0, None
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 if row[0] != anchor:
-                    closed()
                     anchor = row[0]
                     if held >= BLOCK_BYTES:
-                        yield given(block_hits(runs, size))
-                        runs, held = [], 0
-                group.append((row[1], row[2], row[3], row[4], row[0]))
-        closed()
-        if runs:
-            yield given(block_hits(runs, size))
+                        yield given(units)
+                        units, held = [], 0
+                units.append(row)
+                held += len(row[4]) + 1
+        if units:
+            yield given(units)
 
     return run
 
@@ -225,23 +237,53 @@ def cut_texts(size: int):
     return run
 
 
-def intervals(texts: DataFrame, size: int = SIZE) -> DataFrame:
-    """(key, hits): per distinct text (key, text) with repeated windows, their byte intervals."""
-    rows = texts.mapInArrow(segment_rows(size), "key bigint, at int, n int, anchor bigint, digest bigint, copies bigint")
-    rows = stored(rows, "segments")
+def salted(many: DataFrame, few: DataFrame, on: list[str], spread: str) -> DataFrame:
+    """Inner join in which the rows of one key go to ``SALTS`` tasks by their column ``spread``."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return many.withColumn("_salt", F.pmod(spread, F.lit(SALTS)).cast("int")).join(
+        few.withColumn("_salt", salts), [*on, "_salt"]).drop("_salt")
+
+
+def with_text(texts: DataFrame, units: DataFrame) -> DataFrame:
+    """(key, text, parts): one text per key that stands for units, and these units."""
+    parts = units.groupBy("s.key").agg(F.collect_list(F.struct(
+        "anchor", "digest", F.col("s.n").alias("n"), F.col("s.at").alias("at"), "copies")).alias("parts"))
+    parts = stored(parts, "parts")
+    sources = thinned(texts, parts).filter("_maybe").select("key", "text").dropDuplicates(["key"])
+    return sources.join(parts, "key").select("key", "text", "parts")
+
+
+def unit_hits(rows: DataFrame, texts: DataFrame, size: int, widths: tuple[int, ...]) -> DataFrame:
+    """(anchor, digest, first, end): the windows of each unit of the segments ``rows`` that start at two places."""
     repeated = rows.groupBy("anchor").agg(F.sum("copies").alias("c")).filter("c > 1").select("anchor")
-    shared = rows.join(repeated, "anchor")
-    unique = shared.groupBy("anchor", "digest").agg(
-        F.sum("copies").alias("copies"), F.min(F.struct("key", "at", "n")).alias("s"))
-    wanted = stored(unique.groupBy("s.key").agg(
-        F.collect_list(F.struct("anchor", "digest", F.col("s.n").alias("n"), F.col("s.at").alias("at"), "copies")).alias("parts")), "wanted")
-    sources = thinned(texts, wanted).filter("_maybe").select("key", "text").dropDuplicates(["key"])
-    bodies = sources.join(wanted, "key").select("text", "parts").mapInArrow(
+    units = stored(salted(rows, repeated, ["anchor"], "digest").groupBy("anchor", "digest").agg(
+        F.sum("copies").alias("copies"), F.min(F.struct("key", "at", "n")).alias("s")), "units")
+    sizes = units.groupBy("anchor").agg(F.count("*").alias("d"), F.sum(F.col("s.n") + F.lit(size)).alias("bytes"))
+    known = stored(salted(units, sizes, ["anchor"], "digest"), "known")
+    hits = known.filter("d = 1").select("anchor", "digest", F.lit(0).alias("first"), F.col("s.n").alias("end"))
+    bodies = with_text(texts, known.filter((F.col("d") > 1) & (F.col("bytes") <= BLOCK_BYTES))).select("text", "parts").mapInArrow(
         cut_segments(size), "anchor bigint, digest bigint, n int, copies bigint, body binary")
     bodies = bodies.repartition("anchor").sortWithinPartitions("anchor")
-    hits = bodies.mapInArrow(shard_hits(size), "anchor bigint, digest bigint, first int, end int")
+    hits = hits.unionByName(bodies.mapInArrow(shard_hits(size), "anchor bigint, digest bigint, first int, end int"))
+    large = known.filter((F.col("d") > 1) & (F.col("bytes") > BLOCK_BYTES))
+    if widths and not large.isEmpty():
+        pieces = stored(with_text(texts, large).mapInArrow(
+            cut_pieces(size, widths[0]), SEGMENT + ", whole_anchor bigint, whole_digest bigint, whole_at int"), "pieces")
+        inner = unit_hits(pieces.select("key", "at", "n", "anchor", "digest", "copies"), texts, size, widths[1:])
+        back = salted(pieces.select("key", "anchor", "digest", "whole_anchor", "whole_digest", "whole_at"), inner, ["anchor", "digest"], "key")
+        hits = hits.unionByName(back.select(
+            F.col("whole_anchor").alias("anchor"), F.col("whole_digest").alias("digest"),
+            (F.col("whole_at") + F.col("first")).alias("first"), (F.col("whole_at") + F.col("end")).alias("end")))
+    return hits
+
+
+def intervals(texts: DataFrame, size: int = SIZE) -> DataFrame:
+    """(key, hits): per distinct text (key, text) with repeated windows, their byte intervals."""
+    rows = stored(texts.mapInArrow(segment_rows(size), SEGMENT), "segments")
+    hits = unit_hits(rows, texts, size, (PIECE, 1))
     runs = hits.groupBy("anchor", "digest").agg(F.collect_list(F.struct("first", "end")).alias("runs"))
-    back = rows.join(stored(runs, "runs"), ["anchor", "digest"]).select("key", "at", F.explode("runs").alias("r")).distinct()
+    back = salted(rows, stored(runs, "runs"), ["anchor", "digest"], "key")
+    back = back.select("key", "at", F.explode("runs").alias("r")).distinct()
     return stored(back.groupBy("key").agg(F.collect_list(F.struct(
         (F.col("at") + F.col("r.first")).alias("at"), (F.col("at") + F.col("r.end") + size - 1).alias("to"))).alias("hits")), "intervals")
 

@@ -164,25 +164,85 @@ def test_suffix_array_and_repeats():
         assert suffixes.repeated_starts(b, k).tolist() == expected
 
 
-def test_suffix_dedup(spark, texts):
-    raws = [(t or "").encode() for t in texts]
+def test_permuted_prefixes_and_many_names():
+    r = np.random.default_rng(4)
+    for letters in (3, 600, 3000):  # the last two walk entry by entry
+        a = r.integers(1, letters + 1, 300)
+        assert suffixes.suffix_array(a, letters).tolist() == sorted(range(300), key=lambda i: tuple(a[i:]))
+    data = np.tile(r.integers(97, 100, 60).astype(np.uint8), 5)
+    raw, sa = data.tobytes(), suffixes.suffix_array(data.astype(np.uint16) + np.uint16(1), 256)
+    prefixes = suffixes.permuted_prefixes(data, sa)
+    for above, i in zip(sa.tolist(), sa[1:].tolist()):
+        assert prefixes[i] == next((k for k, (x, y) in enumerate(zip(raw[above:], raw[i:])) if x != y), min(len(raw) - above, len(raw) - i))
+
+
+def cut_by_hand(raws, size):
+    """(bytes left, maximal removed runs) of each text."""
     count = {}
     for b in raws:
-        for i in range(len(b) - 399):
-            count[b[i:i + 400]] = count.get(b[i:i + 400], 0) + 1
-    got = {r["_row"]["doc_id"]: r for r in suffix_dedup.deduplicate(table(spark, texts).repartition(4)).collect()}
-    for i, b in enumerate(raws):
+        for i in range(len(b) - size + 1):
+            count[b[i:i + size]] = count.get(b[i:i + size], 0) + 1
+    out = []
+    for b in raws:
         cut = np.zeros(len(b) + 1, int)
-        for k in range(len(b) - 399):
-            if count[b[k:k + 400]] > 1:
-                cut[k:k + 400] = 1
-        kept = bytes(c for c, x in zip(b, cut) if not x)
-        spans = int((np.diff(cut, prepend=0) == 1).sum())
+        for k in range(len(b) - size + 1):
+            if count[b[k:k + size]] > 1:
+                cut[k:k + size] = 1
+        out.append((bytes(c for c, x in zip(b, cut) if not x), int((np.diff(cut, prepend=0) == 1).sum())))
+    return out
+
+
+def same_as_by_hand(docs, texts, size):
+    raws = [(t or "").encode() for t in texts]
+    got = {r["_row"]["doc_id"]: r for r in suffix_dedup.deduplicate(docs, size).collect()}
+    for i, (b, (kept, spans)) in enumerate(zip(raws, cut_by_hand(raws, size))):
         assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"]) == (len(b), len(b) - len(kept), spans)
         assert got[i]["kept"] == kept and got[i]["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+
+
+def test_suffix_dedup(spark, texts):
+    same_as_by_hand(table(spark, texts).repartition(4), texts, 400)
     assert suffix_dedup.deduplicate(table(spark, [])).count() == 0
 
 
+def surrounded(r, lengths, each):
+    """Passages of these lengths, each in many surroundings that are no copies, some of which agree for a stretch."""
+    out = []
+    for n in lengths:
+        passage = "".join(r.choices("abcdef ", k=n))
+        sides = ["".join(r.choices("abcdef ", k=90)) for _ in range(6)]
+        for _ in range(each):
+            left, right = ("".join(r.choices("abcdef ", k=r.randint(0, 120))) for _ in range(2))
+            out.append(left + r.choice(sides)[-r.randint(1, 90):] * (r.random() < 0.5) + passage
+                       + r.choice(sides)[: r.randint(1, 90)] * (r.random() < 0.5) + right)
+    return out
+
+
+def test_suffix_dedup_hot_passages(spark, monkeypatch):
+    """Passages shorter and longer than the size, in surroundings that exceed a block: cut into pieces, with the same result."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 1500)
+    seen = []
+    pieces = suffix_dedup.cut_pieces
+    monkeypatch.setattr(suffix_dedup, "cut_pieces", lambda size, width: seen.append(width) or pieces(size, width))
+    hot = surrounded(random.Random(8), (30, 60, 95, 99, 130, 230), 25) + ["ab" * 300, "ab" * 200, None, ""]
+    same_as_by_hand(table(spark, hot).repartition(3), hot, 100)
+    assert seen == [suffix_dedup.PIECE, 1]
+
+
+def test_stretches_of_a_long_text(monkeypatch):
+    """A text worked on in stretches has every window once, under the same anchors."""
+    data = random.Random(9).randbytes(5000).hex().encode()
+    column = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([data.decode()])], names=["key", "text"])
+
+    def windows():
+        return [(at + k, anchor) for b in suffix_dedup.segment_rows(100)(iter([column])) for at, n, anchor in zip(
+            *(b.column(c).to_pylist() for c in ("at", "n", "anchor"))) for k in range(n)]
+
+    whole = windows()
+    monkeypatch.setattr(suffix_dedup, "STRETCH", 777)
+    assert windows() == whole and [w for w, _ in whole] == list(range(len(data) - 99))
+
+
 def test_jump_sharding(spark, texts):
     docs = table(spark, texts + texts, list(range(len(texts))) * 2)
     rows = sharding.assign(docs, 8).collect()
