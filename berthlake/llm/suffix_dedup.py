@@ -35,6 +35,7 @@ from berthlake.llm.storage import stored
 
 SIZE = 400
 BLOCK_BYTES = 1 << 20
+TASK_BYTES = 4 << 20       # of units that a task sorts, on average
 PIECE = 25                 # windows of a piece of a segment whose anchor has more than a block
 SALTS = 8
 STRETCH = 1 << 26          # windows of a text that are worked on at once
@@ -261,9 +262,12 @@ def unit_hits(rows: DataFrame, texts: DataFrame, size: int, widths: tuple[int, .
     sizes = units.groupBy("anchor").agg(F.count("*").alias("d"), F.sum(F.col("s.n") + F.lit(size)).alias("bytes"))
     known = stored(salted(units, sizes, ["anchor"], "digest"), "known")
     hits = known.filter("d = 1").select("anchor", "digest", F.lit(0).alias("first"), F.col("s.n").alias("end"))
-    bodies = with_text(texts, known.filter((F.col("d") > 1) & (F.col("bytes") <= BLOCK_BYTES))).select("text", "parts").mapInArrow(
+    shared = known.filter((F.col("d") > 1) & (F.col("bytes") <= BLOCK_BYTES))
+    total = shared.agg(F.sum(F.col("s.n") + F.lit(size))).first()[0] or 0
+    bodies = with_text(texts, shared).select("text", "parts").mapInArrow(
         cut_segments(size), "anchor bigint, digest bigint, n int, copies bigint, body binary")
-    bodies = bodies.repartition("anchor").sortWithinPartitions("anchor")
+    # the work grows with the bytes and is heavy for each, so their number and not the size of the shuffle says how many tasks
+    bodies = bodies.repartition(max(1, -(-total // TASK_BYTES)), "anchor").sortWithinPartitions("anchor")
     hits = hits.unionByName(bodies.mapInArrow(shard_hits(size), "anchor bigint, digest bigint, first int, end int"))
     large = known.filter((F.col("d") > 1) & (F.col("bytes") > BLOCK_BYTES))
     if widths and not large.isEmpty():
