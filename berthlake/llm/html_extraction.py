@@ -1,10 +1,11 @@
 """Main text of web pages by minimum-cut labelling.
 
 A page is cut into blocks at block tags. A logistic classifier on text features, fitted here on blocks whose container
-says what they are, gives each block a score; the nearest telling container (element name, class and id words) adds to it. Scores
-are the terminal capacities of a graph: positive ones tie a block to the source (content), negative ones to the sink.
-Blocks that follow each other, and following blocks of one parent, are joined by smoothness edges that weaken with
-their distance in the document tree. The cut of least capacity separates content from boilerplate.
+says what they are, gives each block a bounded score, and the nearest telling container (element name, class and id words) a
+bounded one of its own; text and container may outvote each other. Scores are the terminal capacities of a graph: positive ones
+tie a block to the source (content), negative ones to the sink. Blocks that follow each other, and following blocks of one parent, are
+joined by smoothness edges that weaken with their distance in the document tree and where their containers disagree. One edge
+can outweigh what is left of a disputed score. The cut of least capacity separates content from boilerplate.
 
 A block whose own capacity outweighs all its edges keeps its side in every least cut, so it is fixed at once and its
 edges go to the neighbours' terminals; maximum flow decides about what remains.
@@ -25,10 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-SAMPLE_PAGES = 400
-SAMPLE_BYTES = 16 << 20
-CONTAINER_WEIGHT = 6.0
-SMOOTHNESS = 1.5
+SAMPLE_PAGES = 400       # pages of which blocks are taken for the fit, of any size
+SAMPLE_BLOCKS = 20_000   # blocks of these pages at most
+TEXT_BOUND = 3.0
+CONTAINER_BOUND = 2.0
+SMOOTHNESS = 2.0         # of siblings; falls with the square of the distance in the tree
+DISAGREEMENT = 0.05      # of an edge's weight between blocks whose containers tell different things
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^<>]*+>"
@@ -44,14 +47,21 @@ RAW = {"script", "style", "textarea", "title", "iframe", "noscript"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset",
          "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "html", "legend", "li", "main",
          "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption"}
-BAD_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "header", "fieldset", "legend"}
+CLOSED_TAGS = {"nav", "footer", "aside", "menu", "dialog"}     # boilerplate whatever stands inside
+OPEN_TAGS = {"form", "header", "fieldset", "legend"}           # boilerplate but for an article inside
 GOOD_TAGS = {"article", "main"}
 BAD_WORDS = {"ad", "ads", "advert", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner", "nav", "navbar",
              "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "aside", "footer", "header", "masthead", "comment", "comments",
              "reply", "replies", "respond", "cookie", "cookies", "consent", "notice", "alert", "popup", "modal", "newsletter",
              "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "widget", "toolbar",
              "copyright", "pagination", "pager", "complementary", "contentinfo", "search", "gdpr", "feedback", "discussion"}
+# what such containers hold is never the article, even if parts of it are called body, text or article
+CLOSED_WORDS = {"ad", "ads", "advert", "advertisement", "advertising", "sponsor", "sponsored", "promo", "nav", "navbar", "navigation", "menu",
+                "breadcrumb", "breadcrumbs", "comment", "comments", "reply", "replies", "respond", "cookie", "cookies", "consent", "popup",
+                "modal", "newsletter", "subscribe", "subscription", "signup", "login", "related", "recommended", "footer", "pagination",
+                "pager", "contentinfo", "discussion", "feedback", "gdpr"}
 GOOD_WORDS = {"article", "content", "post", "entry", "story", "main", "body", "text"}
+LAYOUT = re.compile(r"(?:with|without|has|no|layout|page|col|is)[-_]")  # such names say how a page is laid out
 # an open element of the second kind ends where one of the first begins
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 
@@ -63,18 +73,39 @@ class Block:
         self.text, self.path, self.container, self.linked = text, path, container, linked
 
 
+def told_by_names(attributes: str) -> int:
+    """2 if a name says article, -1 or -2 (closed) if it says boilerplate, 1 if names say both, 0 if they say nothing."""
+    good = mixed = bad = 0
+    for name in (n for m in NAMES.findall(attributes) for n in m.strip("\"'").lower().split()):
+        words = set(WORD.findall(name))
+        if LAYOUT.match(name) or not words & (BAD_WORDS | GOOD_WORDS):
+            continue
+        if not words & BAD_WORDS:
+            good = 1
+        elif words & GOOD_WORDS:
+            mixed = min(mixed, -2 if words & CLOSED_WORDS else -1)
+        else:
+            bad = min(bad, -2 if words & CLOSED_WORDS else -1)
+    if bad:
+        return bad
+    return (1 if mixed else 2) if good else mixed
+
+
 def container_of(tag: str, attributes: str, inside: int) -> int:
-    """1 in an article, -1 in boilerplate, 0 if nothing tells; ``inside`` is the parent's."""
-    if tag in BAD_TAGS and not (tag == "header" and inside > 0):
+    """1 in an article, -1 in boilerplate that an article may stand in, -2 in any other, 0 if nothing tells; ``inside`` is the parent's."""
+    if inside == -2 and tag != "main":
+        return -2
+    if tag in CLOSED_TAGS:
+        return -2
+    names = told_by_names(attributes) if attributes and tag not in ("html", "body") else 0
+    if names < 0 and tag != "main":
+        return names
+    if tag in GOOD_TAGS or names == 2:
+        return 1
+    if names == 1:  # names say both, so the parent tells
+        return 1 if inside >= 0 else inside
+    if tag in OPEN_TAGS and inside <= 0:
         return -1
-    if attributes:
-        words = {w for m in NAMES.findall(attributes) for w in WORD.findall(m.lower())}
-        if words & BAD_WORDS and tag not in ("html", "body", "article", "main"):
-            return -1
-        if inside >= 0 and words & GOOD_WORDS and tag not in ("html", "body"):
-            return 1
-    if tag in GOOD_TAGS:
-        return 1 if inside >= 0 else -1
     return inside
 
 
@@ -90,7 +121,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal parts, linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, tuple(s[1] for s in stack), stack[-1][2] if stack else 0, linked))
+            out.append(Block(text, tuple(s[1] for s in stack), max(-1, stack[-1][2]) if stack else 0, linked))
         parts, linked = [], 0
 
     pos, end = 0, len(page)
@@ -156,18 +187,35 @@ def features(block: Block) -> list[float]:
             sum(map(str.isdigit, block.text)) / len(block.text)]
 
 
+PRIOR = [0.0, 1.0, -3.0, 1.0, 0.5, -1.0]  # weights where the pages tell nothing
+
+
+def telling_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (place, html): features and label of every block whose container tells."""
+    for batch in batches:
+        for place, page in zip(*(c.to_pylist() for c in batch.columns)):
+            told = [(k, b) for k, b in enumerate(blocks(page)) if b.container]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([place] * len(told), pa.int64()), pa.array([k for k, _ in told], pa.int32()),
+                 pa.array([features(b) for _, b in told], pa.list_(pa.float64())), pa.array([b.container > 0 for _, b in told], pa.bool_())],
+                names=["place", "k", "x", "y"])
+
+
 def fit(pages: DataFrame) -> np.ndarray:
-    """Weights of the text features, from a bounded sample of pages whose containers tell."""
-    rows = pages.select(F.md5(F.col("page_id").cast("string")).alias("o"), F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.filter(F.octet_length("html") <= SAMPLE_BYTES // SAMPLE_PAGES).orderBy("o", "html").limit(SAMPLE_PAGES)
-    x, y = [], []
-    for page in rows.toArrow()["html"].to_pylist():
-        for block in blocks(page):
-            if block.container:
-                x.append(features(block))
-                y.append(block.container > 0)
+    """Weights of the text features, from a bounded sample of blocks whose containers tell.
+
+    The pages of the lowest hashes are taken, and of their blocks those of the lowest (hash of page, then number). If these are
+    of one kind only, a long text without links counts as content.
+    """
+    placed = pages.select(F.xxhash64(F.col("page_id").cast("string")).alias("place"), F.coalesce("html", F.lit("")).alias("html"))
+    last = placed.select("place").orderBy("place").limit(SAMPLE_PAGES).agg(F.max("place")).first()[0]
+    if last is None:
+        return np.array(PRIOR)
+    sample = placed.filter(F.col("place") <= last).mapInArrow(telling_blocks, "place bigint, k int, x array<double>, y boolean")
+    rows = sample.orderBy("place", F.xxhash64("k"), "x").limit(SAMPLE_BLOCKS).toArrow()
+    x, y = rows["x"].to_pylist(), rows["y"].to_pylist()
     if not y or all(y) or not any(y):
-        return np.array([0.0, 1.0, -3.0, 1.0, 0.5, -1.0])
+        return np.array(PRIOR)
     x, y = np.array(x), np.array(y, float)
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     w = np.zeros(x.shape[1])
@@ -178,7 +226,7 @@ def fit(pages: DataFrame) -> np.ndarray:
 
 
 def edges(page: list[Block]) -> dict[tuple[int, int], float]:
-    """Smoothness between neighbours in the page and between following blocks of one parent."""
+    """Smoothness between neighbours in the page and between following blocks of one parent, weak where containers disagree."""
     out: dict[tuple[int, int], float] = {}
     last: dict[tuple[int, ...], int] = {}
     for i, block in enumerate(page):
@@ -192,7 +240,8 @@ def edges(page: list[Block]) -> dict[tuple[int, int], float]:
                         break
                     common += 1
                 distance = len(block.path) + len(other) - 2 * common
-                out[(j, i)] = SMOOTHNESS / (1 + distance)
+                agree = page[j].container == block.container or not page[j].container or not block.container
+                out[(j, i)] = SMOOTHNESS * (2 / max(2, distance)) ** 2 * (1.0 if agree else DISAGREEMENT)
         last[parent] = i
     return out
 
@@ -269,7 +318,7 @@ def main_text(page: str, weights: np.ndarray) -> str:
     if not found:
         return ""
     x = np.array([features(b) for b in found])
-    score = np.clip(x @ weights, -3, 3) + CONTAINER_WEIGHT * np.array([b.container for b in found])
+    score = np.clip(x @ weights, -TEXT_BOUND, TEXT_BOUND) + CONTAINER_BOUND * np.array([b.container for b in found])
     inside = least_cut(score.tolist(), edges(found))
     return " ".join(b.text for b, keep in zip(found, inside) if keep)
 

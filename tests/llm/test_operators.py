@@ -1,6 +1,7 @@
 """The corpus operators against brute force on small tables with nulls, empty and long texts, ties and repeated rows."""
 
 import hashlib
+import html
 import random
 import re
 import zlib
@@ -361,6 +362,60 @@ def test_html_extraction(spark):
     assert got[2] == "" and got[3] == ""
 
 
+LONG = "A paragraph of the article, with commas, and some more words to make a whole sentence of it."
+WRAPPED = {
+    "bad word in a layout name": '<div class="page with-sidebar"><div class="post-content"><p>%s</p></div><div class="sidebar"><p>%s</p></div></div>',
+    "article in a header": '<div class="layout-header"><article><p>%s</p></article></div><div class="footer"><p>%s</p></div>',
+    "names that say both": '<article><div class="content share-story"><p>%s</p></div><div class="share"><p>%s</p></div></article>',
+    "page in one form": '<form id="all"><article><p>%s</p></article><p><a href="/">%s</a></p></form>',
+    "comments called content": '<article><p>%s</p></article><div class="comments"><div class="content"><p>%s</p></div></div>',
+    "comments as articles": '<main><p>%s</p></main><section class="comments"><article class="comment"><p>%s</p></article></section>',
+    "article in a banner": '<div class="banner"><main><p>%s</p></main></div><nav><ul><li>%s</li></ul></nav>',
+}
+WEIGHTS = np.array([0.44, 0.85, -1.92, 0.67, 0.0, 0.0])  # as fitted on the given pages
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_html_containers(name):
+    assert html_extraction.main_text(WRAPPED[name] % (LONG, LONG.upper()), WEIGHTS) == LONG
+
+
+def test_html_cut_decides_where_names_do_not():
+    links = "".join(f'<li><a href="/{k}">Link {k}</a></li>' for k in range(6))
+    # nothing tells: the text and the neighbours do; a short line between paragraphs follows these
+    plain = f"<div><ul>{links}</ul></div><div><p>{LONG}</p><p>{LONG}</p><p>So it was</p><p>{LONG}</p><p>{LONG}</p></div><div><ul>{links}</ul></div>"
+    assert html_extraction.main_text(plain, WEIGHTS) == " ".join([LONG, LONG, "So it was", LONG, LONG])
+    # text against container: alone it goes, among paragraphs of the article it stays
+    link = '<p><a href="/x">see there</a></p>'
+    strong = WEIGHTS * 2
+    assert html_extraction.main_text(f"<article>{link}</article>", strong) == ""
+    assert html_extraction.main_text(f"<article><p>{LONG}</p>{link}<p>{LONG}</p></article>", strong) == f"{LONG} see there {LONG}"
+
+
+def test_html_fit_takes_large_pages(spark):
+    large = "<article>" + f"<p>{LONG}</p>" * 1500 + "</article><nav><ul>" + '<li><a href="/">Go on</a></li>' * 300 + "</ul></nav>"
+    pages = spark.createDataFrame([(k, "u", large) for k in range(3)] + [(None, None, None)], "page_id int, url string, html string")
+    weights = html_extraction.fit(pages)
+    assert weights.tolist() != html_extraction.PRIOR and weights[2] < 0 < weights[1]
+    assert html_extraction.fit(pages.limit(0)).tolist() == html_extraction.PRIOR
+
+
+def test_html_query_on_given_pages(spark):
+    """In the given pages, the article element and nothing else is the main text."""
+    from berthlake.llm import registry
+
+    sf = "/root/testdata/sf0.001"
+    got = {r["page_id"]: r for r in registry.QUERIES["op9_html_extraction"](spark, sf).collect()}
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    assert len(got) == len(pages) > 0
+    for page in pages:
+        inner = re.search("<article>(.*?)</article>", page["html"], re.S)[1]
+        inner = re.sub("<(script|style).*?</\\1>|<!--.*?-->", "", inner, flags=re.S)
+        text = " ".join(html.unescape(re.sub("<[^>]*>", "", re.sub("</?(p|h1|br|li|ul|div)[^>]*>", " ", inner))).split())
+        r = got[page["page_id"]]
+        assert (r["url"], r["text"], r["n_chars"]) == (page["url"], text, len(text))
+
+
 def test_least_cut_is_least():
     from itertools import product
     r = random.Random(4)
