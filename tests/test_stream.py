@@ -83,3 +83,31 @@ def test_upsert_and_compact(spark, tmp_path):
     assert pick(upsert.current_rows(spark, out)) == want
     assert pick(upsert.compact(spark, out, str(tmp_path / "compacted"))) == want
     assert spark.read.parquet(out).select(F.count_distinct("epoch")).first()[0] == 2
+
+
+def test_folded_log(spark, tmp_path):
+    """Eleven epochs, folded in threes: same rows as the batch, few runs, lookups by bucket, repeated epochs."""
+    import random
+
+    r, out, seen = random.Random(6), str(tmp_path / "log"), []
+    for epoch in range(11):
+        rows = [row(f"k{r.randrange(12)}", r.randrange(24), r.choice("xyz"), r.randrange(1, 28)) for _ in range(9)]
+        seen += rows
+        batch = spark.createDataFrame(rows, SCHEMA)
+        upsert.add_epoch(batch, epoch, out, fold=3, buckets=4)
+        if epoch in (2, 8, 10):  # the same epoch again, as after a lost driver
+            upsert.add_epoch(batch, epoch, out, fold=3, buckets=4)
+    newest = {}
+    for x in seen:
+        newest[x[0]] = max(newest.get(x[0], x), x, key=lambda v: (v[1], v[2]))
+    got = upsert.current_rows(spark, out, fold=3, buckets=4)
+    assert {(x["gold_key"], x["bronze_row_id"]) for x in got.collect()} == {(k, v[2]) for k, v in newest.items()}
+    assert upsert.live_runs(spark, out, 3) == [(0, 9), (0, 10), (2, 8)]
+    one = upsert.current_rows(spark, out, fold=3, buckets=4, keys=["k3"])
+    assert [(x["gold_key"], x["bronze_row_id"]) for x in one.collect()] == [("k3", newest["k3"][2])]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
+    # folded runs go one fold later, and a run that is not complete is not read
+    assert len(list((tmp_path / "log" / "level=0").iterdir())) <= 5
+    (tmp_path / "log" / "level=2" / "epoch=8" / "_SUCCESS").unlink()
+    assert (1, 8) in upsert.live_runs(spark, out, 3)
