@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from berthlake.functions import time as bt
 
@@ -24,22 +24,39 @@ def expand_hours(df: DataFrame) -> DataFrame:
     return df.withColumn("work_hour", F.explode(bt.hours_covered("eta", "etd")))
 
 
+def first_covers(df: DataFrame, key: str) -> DataFrame:
+    """The hours that the stays of a key cover at a terminal, each of them once: rows (terminal_id, eta, etd) that do not overlap.
+
+    Stays are combined per first hour below the exchange, so a key meets with one row per hour of its history at most.
+    """
+    stays = df.filter(F.col(key).isNotNull()).groupBy("terminal_id", key, bt.hour_floor("eta").alias("eta")).agg(
+        F.max(bt.hour_floor("etd")).alias("etd"))
+    earlier = Window.partitionBy("terminal_id", key).orderBy("eta").rowsBetween(Window.unboundedPreceding, -1)
+    free = F.max("etd").over(earlier) + F.expr("INTERVAL 1 HOUR")
+    stays = stays.withColumn("eta", F.greatest("eta", free))
+    return stays.filter(F.col("eta") <= F.col("etd")).select("terminal_id", "eta", "etd")
+
+
 def hourly_workload(df: DataFrame, key: str = "gold_key", key_is_unique: bool = True) -> DataFrame:
     """Spread the work of each call evenly over its stay and add it up per terminal and hour.
 
     The exploded rows are combined before they are shuffled. Where the input holds one row per key a
-    plain count is the distinct count, and the aggregate needs a single exchange.
+    plain count is the distinct count. Else the hours of each key are made disjoint before they are exploded, and their
+    number is the distinct count: no exchange carries a row per key and hour.
     """
     rated = df.select(
-        "terminal_id", "eta", "etd", "berth", "vessel_name", "parsed_at", key,
+        "terminal_id", "eta", "etd", "berth", "vessel_name", "parsed_at",
         *[(F.col(src) / F.col("stay_hours")).alias(name) for name, src in RATES.items()],
+        F.lit(1 if key_is_unique else 0).alias("_vessels"),
     )
-    vessels = F.count("*") if key_is_unique else F.count_distinct(key)
+    if not key_is_unique:
+        covers = first_covers(df, key).withColumn("_vessels", F.lit(1))
+        rated = rated.unionByName(covers, allowMissingColumns=True)
     out = (
         expand_hours(rated)
         .groupBy("terminal_id", "work_hour")
         .agg(
-            vessels.alias("vessel_count"),
+            F.sum("_vessels").alias("vessel_count"),
             *[F.round(F.sum(name), 2).alias(name) for name in RATES],
             F.array_sort(F.collect_set("berth")).alias("berth_list"),
             F.array_sort(F.collect_set("vessel_name")).alias("vessel_list"),
