@@ -44,7 +44,7 @@ def with_dataset_rows(df: DataFrame, content: Column, out: str) -> DataFrame:
 
 
 _decode_binary = F.pandas_udf(
-    parsers.decode_batch,
+    parsers.decode_batches,
     T.StructType()
     .add("rows", T.ArrayType(T.ArrayType(T.StringType())))
     .add("head_rows", T.IntegerType())

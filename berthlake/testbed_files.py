@@ -11,7 +11,6 @@ import sys
 import zipfile
 from xml.sax.saxutils import escape
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -53,11 +52,12 @@ def xlsx_bytes(rows) -> bytes:
     return out.getvalue()
 
 
-def xlsx_batch(tables: pd.Series) -> pd.Series:
-    return tables.map(lambda rows: None if rows is None else xlsx_bytes(rows))
+def xlsx_or_none(rows) -> bytes | None:
+    return None if rows is None else xlsx_bytes(rows)
 
 
-_xlsx = F.pandas_udf(xlsx_batch, T.BinaryType())
+# without Arrow a worker is given a hundred tables at a time; an Arrow batch takes thousands
+_xlsx = F.udf(xlsx_or_none, T.BinaryType(), useArrow=False)
 
 
 def event_texts(events: DataFrame) -> DataFrame:

@@ -3,7 +3,11 @@
 import datetime as dt
 import random
 
+import pandas as pd
+
+from berthlake import testbed_files as tf
 from berthlake.operators import workload
+from berthlake.sources import parsers
 
 CALL = ("terminal_id string, k string, eta timestamp_ntz, etd timestamp_ntz, berth string, vessel_name string, parsed_at timestamp_ntz, "
         "total_workload int, discharge int, loading int, shift int, stay_hours double")
@@ -32,3 +36,25 @@ def test_vessels_per_hour_without_a_row_per_key_and_hour(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "hashpartitioning" in line]
     assert exchanges and not any("work_hour" in e and "k#" in e for e in exchanges)
+
+
+def test_decoded_files_leave_a_worker_in_chunks():
+    page = b"<table>" + b"<tr><td>abc</td></tr>" * 2000 + b"</table>"
+    names, contents = pd.Series(["a.xls"] * 120 + ["b.xlsx", "c.xls"]), pd.Series([page] * 120 + [b"broken", None])
+    chunks = list(parsers.decode_batches(iter([(names, contents), (names[:0], contents[:0])])))
+    most = parsers.CHUNK_BYTES // len(page) + 1
+    assert len(chunks) > 3 and max(map(len, chunks)) <= most
+    rows = pd.concat(chunks)
+    assert len(rows) == 122 and all(len(x) == 2000 for x in rows["rows"][:120])
+    assert rows["error"].iloc[120] and rows["rows"].iloc[120] is None and rows["rows"].iloc[121] is None
+
+
+def test_workbooks_are_written_a_few_at_a_time(spark):
+    """Arrow would hand thousands of tables to a worker at once."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(1).select(tf._xlsx(F.array(F.array(F.lit("a"), F.lit(None)))).alias("x"), tf._xlsx(F.lit(None).cast("array<array<string>>")).alias("n"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    x, n = df.first()
+    assert parsers.xlsx_table(bytes(x)) == [["a"]] and n is None
