@@ -16,7 +16,7 @@ HORIZON = fc.Horizon("month", pq.CUT)
 
 def stored_panel(spark, sf, grain="month"):
     """The panel is used many times by the models, so it is written once and read back."""
-    return sinks.write_table(pq.panel(spark, sf, grain), scratch_path(spark, "panel"))
+    return pq.stored(pq.panel(spark, sf, grain), "panel")
 
 
 def ratios(spark, sf):
@@ -117,7 +117,7 @@ def tree_attribution(spark, sf):
 def scenario_attribution(spark, sf):
     """Attribution of the forecast rows, by the trees and by the linear model."""
     keep = ["terminal_id", "scenario", "year", "period"]
-    ahead = run_forecast(spark, sf)
+    ahead = pq.stored(run_forecast(spark, sf), "forecast")
     linear = fc.linear_attribution(ahead, keep).withColumnRenamed("attribution", "linear_attribution")
     trees = fc.tree_attribution(ahead, keep).withColumnRenamed("attribution", "tree_attribution")
     return trees.join(linear.drop("feature_value"), [*keep, "feature"])
