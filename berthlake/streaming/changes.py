@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -60,7 +61,8 @@ def merge_batch(
     new = new.filter("NOT _late").drop("_late")
 
     rows = known.withColumn("_fresh", F.lit(False)).unionByName(new.withColumn("_fresh", F.lit(True)))
-    rows = skew.previous_row(rows, [key], order, [*tracked, "_fresh"], F.unix_timestamp(TIME))
+    # the log and the state are two writes of the same sorted rows
+    rows = skew.previous_row(rows, [key], order, [*tracked, "_fresh"], F.unix_timestamp(TIME)).persist(StorageLevel.DISK_ONLY)
     prev = F.col("_prev")
     compared = rows.filter(F.col("_fresh") | F.coalesce(prev["_fresh"], F.lit(False)))
     compared = compared.withColumn("change_type", changes.change_type(prev["row_hash"], F.col("row_hash")))
@@ -76,12 +78,15 @@ def merge_batch(
     is_last = F.coalesce(place == F.col("_last"), F.lit(False))
     state = state.filter((F.col(TIME) >= horizon) | is_last)
     state = state.withColumn("_base", F.col("_base") | (is_last & prev.isNotNull()))
-    state.select(*fresh.columns).repartition("state_bucket").write.mode("overwrite").partitionBy("state_bucket").parquet(f"{path}/state/epoch={epoch}")
+    # a bucket that is large for a task is split over several
+    dealt = state.select(*fresh.columns).hint("rebalance", "state_bucket")
+    dealt.write.mode("overwrite").partitionBy("state_bucket").parquet(f"{path}/state/epoch={epoch}")
 
     now = {**epochs, **{b: epoch for b in touched}}
     manifest = [(b, e, high) for b, e in now.items()] or [(None, None, high)]
     spark.createDataFrame(manifest, f"state_bucket int, at bigint, high {batch.schema[TIME].dataType.simpleString()}").coalesce(1).write.mode(
         "overwrite").parquet(f"{path}/manifest/{epoch}")
+    rows.unpersist()
     fresh.unpersist()
 
 

@@ -64,10 +64,10 @@ def _read(spark: SparkSession, path: str, runs: Sequence[tuple[int, int]]) -> Da
 
 
 def _write_run(rows: DataFrame, path: str, level: int, epoch: int, key: str, order_by: Sequence[str], buckets: int) -> None:
-    # one exchange by bucket serves the newest row per key and the files
-    dealt = rows.withColumn("bucket", _bucket(F.col(key), buckets)).repartition(buckets, "bucket")
-    latest_per_key(dealt, ["bucket", key], _newest(order_by)).write.mode("overwrite").partitionBy("bucket").parquet(
-        f"{path}/level={level}/epoch={epoch}")
+    # only the newest rows are dealt to their buckets; a bucket that is large for a task is split over several
+    dealt = rows.withColumn("bucket", _bucket(F.col(key), buckets))
+    newest = latest_per_key(dealt, ["bucket", key], _newest(order_by))
+    newest.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/level={level}/epoch={epoch}")
 
 
 def add_epoch(
@@ -76,6 +76,8 @@ def add_epoch(
 ) -> None:
     """Add a micro-batch as a run, and fold the levels that it fills up."""
     spark = batch.sparkSession
+    # streams turn this off for operators with a state of their own; there are none here
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     _write_run(batch, path, 0, epoch, key, order_by, buckets)
     level = 1
     while (epoch + 1) % fold ** level == 0:
