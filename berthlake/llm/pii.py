@@ -56,10 +56,9 @@ FOREIGN = (r"(?i)\b(?:version|release|build|isbn|issn|doi|order|invoice|ticket|s
 FOREIGN_BEFORE = {"email": "token: ", "ip": "version ", "card": "ISBN ", "phone": "order no. "}
 DATES = r"^(?:(?:19|20)[0-9]{2}[\x20./-]+(?:[0-9]{1,2}[\x20./-]|(?:19|20)[0-9]{2}$)|[0-9]{1,2}[\x20./-][0-9]{1,2}[\x20./-](?:19|20)[0-9]{2}(?![0-9]))"
 
-SAMPLE_SPANS = 2000
-SAMPLE_CANDIDATES = 4000
-TREES, DEPTH = 10, 3
+TREES, DEPTH, BINS = 10, 3, 256
 PRECISION = 0.98
+MARGIN_STEPS = 1000  # per unit; thresholds lie on these steps
 NUMBER_CHUNK = 512
 
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,body:string,before:string,after:string>>"
@@ -264,42 +263,54 @@ def variants(s: Column) -> Column:
         placed(F.slice(good, 1, 2), s["before"], F.concat(F.lit("f0"), s["after"])))
 
 
-def fit(docs: DataFrame, text: str = "text") -> Model | None:
-    """Trees and thresholds from bounded samples of base spans and of counter-examples, those with the lowest digests."""
+def examples(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Feature vectors of all examples with their label, their side of the split (``held``) and their number ``n``.
+
+    Every distinct base span and counter-example of the table counts. Features are small whole numbers, so equal vectors are
+    many; they are counted below the exchange.
+    """
     texts = docs.select(F.col(text).alias("text"))
     place = ["kind", "body", "before", "after"]
 
-    def sample(found: DataFrame, spans: Column, rows: int) -> DataFrame:
+    def distinct(found: DataFrame, spans: Column) -> DataFrame:
         # what a base span and its copies teach stays on one side of the split
         own = found.select(F.explode(spans).alias("c")).select(*(F.col(f"c.{k}").alias(k) for k in place)).dropDuplicates(place)
-        return own.withColumn("_order", F.xxhash64("kind", "body")).orderBy("_order", *place).limit(rows)
+        return own.withColumn("_order", F.xxhash64("kind", "body"))
 
     c = F.struct(*place)
-    spans = sample(candidates(texts, "text", False), F.col("_base"), SAMPLE_SPANS).select("_order", F.explode(variants(c)).alias("v")).select("v.*", "_order")
+    spans = distinct(candidates(texts, "text", False), F.col("_base")).select("_order", F.explode(variants(c)).alias("v")).select("v.*", "_order")
     spans = spans.withColumn("label", F.when(checked(c) & personal_place(c), 1.0).otherwise(0.0))
-    # the checks are left to the sample, as most candidates fail them
-    against = sample(candidates(texts, "text"), F.filter("_wide", lambda s: open_to(F.col("_base"), s)), SAMPLE_CANDIDATES)
+    # the checks are left to the distinct ones, as most candidates fail them
+    against = distinct(candidates(texts, "text"), F.filter("_wide", lambda s: open_to(F.col("_base"), s)))
     against = against.filter(~(F.coalesce(checked(c), F.lit(False)) & personal_place(c))).withColumn("label", F.lit(0.0))
     rows = spans.unionByName(against)
-    rows = rows.select(F.col("kind").alias("name"), "label", "_order", *(v.alias(k) for k, v in feature_columns(c).items()))
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).coalesce(4).cache()
-    kinds = {r[0] for r in rows.filter("_order % 4 <> 0").select("label").distinct().collect()}
+    made = rows.select(F.col("kind").alias("name"), "label", (F.col("_order") % 4 == 0).alias("held"), *(v.alias(k) for k, v in feature_columns(c).items()))
+    return made.groupBy(*made.columns).agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+
+def fit(docs: DataFrame, text: str = "text") -> Model | None:
+    """Trees and thresholds from all base spans and counter-examples of the table."""
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(examples(docs, text)).cache()
+    kinds = {r[0] for r in rows.filter("NOT held").select("label").distinct().collect()}
     if len(kinds) < 2:
         rows.unpersist()
         return None
-    booster = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3, labelCol="label", featuresCol="features")
-    model: GBTClassificationModel = booster.fit(rows.filter("_order % 4 <> 0"))
+    booster = GBTClassifier(
+        maxIter=TREES, maxDepth=DEPTH, maxBins=BINS, seed=7, stepSize=0.3, labelCol="label", featuresCol="features", weightCol="n")
+    model: GBTClassificationModel = booster.fit(rows.filter("NOT held"))
     trees = [(float(w), nested(t._java_obj.rootNode())) for w, t in zip(model.treeWeights, model.trees)]
-    held = rows.filter("_order % 4 = 0").select("name", "label", margin(trees, {k: F.col(k) for k in FEATURES}).alias("m")).collect()
+    # one row per kind and step of the margin, so their number does not grow with the table
+    margins = rows.filter("held").select("name", "label", "n", margin(trees, {k: F.col(k) for k in FEATURES}).alias("m"))
+    held = margins.groupBy("name", F.floor(F.col("m") * MARGIN_STEPS).alias("step")).agg(
+        F.min("m").alias("m"), F.sum(F.col("n") * F.col("label")).alias("good"), F.sum("n").alias("n")).collect()
     rows.unpersist()
     thresholds = {}
     for kind in KINDS:
-        own = sorted(((r["m"], r["label"]) for r in held if r["name"] == kind), reverse=True)
-        good, best = 0.0, None
-        for i, (m, label) in enumerate(own):
-            good += label
-            if good >= PRECISION * (i + 1) and (i + 1 == len(own) or own[i + 1][0] < m):
-                best = m
+        good, seen, best = 0.0, 0.0, None
+        for r in sorted((r for r in held if r["name"] == kind), key=lambda r: -r["m"]):
+            good, seen = good + r["good"], seen + r["n"]
+            if good >= PRECISION * seen:
+                best = r["m"]
         if best is not None and best > 0:
             thresholds[kind] = best
     return Model(trees, thresholds)
