@@ -298,18 +298,21 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id
     shared = stored(rows.mapInArrow(
         shared_only, "token bigint, class bigint, n int, at int, pivot bigint, pivot_n int, pivot_at int"), "shared")
 
-    def meet(pairs: DataFrame, known: DataFrame | None, whole: bool = False) -> DataFrame:
-        """All pairs tried so far, with ``linked`` true for those that link."""
+    def meet(pairs: DataFrame, known: DataFrame | None, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+        """All pairs tried so far, and the new ones among them that link."""
         pairs = possible(pairs, percent, whole)
         if known is not None:
-            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         wanted = bitmap(spark, pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "class")
         texts = source.select("text").mapInArrow(wanted_texts(wanted, shingle), "class bigint, text string, cells array<int>")
         texts = stored(texts.dropDuplicates(["class"]), "texts")
-        good = verified(pairs, texts, shingle, percent).withColumn("linked", F.lit(True))
-        tried = stored(pairs.join(good, ["a", "b"], "left"), "tried")
-        return tried if known is None else known.unionByName(tried)
+        linked = stored(verified(pairs, texts, shingle, percent), "linked")
+        return pairs if known is None else known.unionByName(pairs), linked
+
+    def merged(labels: DataFrame, linked: DataFrame) -> DataFrame:
+        """The components with the new links; those found before stand for all links up to them."""
+        return components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(linked), "a", "b")
 
     def open_rows(labels: DataFrame) -> tuple[DataFrame, float, int]:
         """Shared rows with their component, of shingles that more than one component has; their pairs, and how many they are."""
@@ -329,8 +332,8 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id
 
     first = shared.filter(F.col("class") != F.col("pivot")).withColumnsRenamed(
         {"class": "x_class", "n": "x_n", "at": "x_at", "pivot": "y_class", "pivot_n": "y_n", "pivot_at": "y_at"})
-    tried = meet(first.select(*oriented("x_", "y_")), None)
-    labels = components(tried.filter("linked"), "a", "b")
+    tried, linked = meet(first.select(*oriented("x_", "y_")), None)
+    labels = components(linked, "a", "b")
     rows, left, n = open_rows(labels)
     side = ("class", "n", "at", "component")
     before, turn = float("inf"), 0
@@ -339,14 +342,14 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc_id
         pivot = rows.groupBy("token").agg(F.min_by(F.struct(*side), F.xxhash64("class", F.lit(turn))).alias("p"))
         met = rows.join(pivot, "token").filter(F.col("component") != F.col("p.component")).select(
             *(F.col(c).alias(f"x_{c}") for c in side), *(F.col(f"p.{c}").alias(f"y_{c}") for c in side))
-        tried = meet(met.select(*oriented("x_", "y_")), tried)
-        labels = components(tried.filter("linked"), "a", "b")
+        tried, linked = meet(met.select(*oriented("x_", "y_")), tried)
+        labels = merged(labels, linked)
         rows, left, n = open_rows(labels)
 
     x = rows.select("token", *(F.col(c).alias(f"x_{c}") for c in side))
     y = rows.select("token", *(F.col(c).alias(f"y_{c}") for c in side))
-    tried = meet(x.join(y, "token").filter("x_component < y_component").select(*oriented("x_", "y_")), tried, whole=True)
-    labels = components(tried.filter("linked"), "a", "b")
+    tried, linked = meet(x.join(y, "token").filter("x_component < y_component").select(*oriented("x_", "y_")), tried, whole=True)
+    labels = merged(labels, linked)
 
     classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("class_size"))
     named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left")
@@ -373,7 +376,7 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
         own += "_"
     keyed = docs.withColumn(own, F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("digest"))))
     found = join(keyed, shingle, percent, doc_id=own)
-    gone = found.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(own)).distinct()
+    gone = found.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(own))
     kept = keyed.join(gone, own, "left_anti")
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     if not others:

@@ -57,9 +57,10 @@ def exponent(stats: DataFrame, max_repeats: float | None, entropy: float | None)
         grid = [low + (high - low) * i / SECTIONS for i in range(SECTIONS + 1)]
         rows = stats.select(log_share.alias("l"), F.explode(F.array(*map(F.lit, grid))).alias("a"))
         power = F.exp(F.col("a") * F.col("l"))
-        return rows.groupBy("a").agg(
+        found = rows.groupBy("a").agg(
             F.sum(power).alias("z"), F.sum(power * F.col("l")).alias("zl"), F.count(F.lit(1)).alias("n"),
-            ((1 - F.col("a")) * (F.max("l") - F.min("l"))).alias("spread")).orderBy("a").collect()  # 33 rows
+            ((1 - F.col("a")) * (F.max("l") - F.min("l"))).alias("spread"))
+        return sorted(found.collect(), key=lambda r: r["a"])  # 33 rows
 
     def search(low_enough) -> float:
         """The smallest exponent for which ``low_enough`` holds; it holds from some exponent on."""

@@ -120,6 +120,20 @@ def test_jaccard_join_edge_tables(spark):
     assert sorted((r["n_shingles"], r["component_id"] or -1) for r in got) == [(0, -1), (0, 7), (1, 7), (1, 7)]
 
 
+def test_components_take_few_exchanges_and_no_round_for_stars(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(components, "stored", lambda df, label: rounds.append(label) or df.cache())
+    star = spark.createDataFrame([(9, 2), (7, 2), (2, 8), (5, 4), (5, 4), (3, 3)], "a bigint, b bigint")
+    got = components.components(star, "a", "b")
+    assert sorted(map(tuple, got.collect())) == [(2, 2), (4, 4), (5, 4), (7, 2), (8, 2), (9, 2)]
+    assert not rounds  # one round to see that nothing changes, before
+    hub = spark.createDataFrame([(50, k) for k in range(100) if k != 50], "a bigint, b bigint")
+    assert dict(components.components(hub, "a", "b").collect()) == {k: 0 for k in range(100)}
+    assert len(rounds) == 1
+    plan = components._stars(hub.filter("a > b"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 7
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(5, 5)]
     got = dict(components.components(spark.createDataFrame(links, "x bigint, y bigint"), "x", "y").collect())
