@@ -6,7 +6,7 @@ window count as one window of their own. The words inside hits are removed; a do
 a coverage limit goes altogether.
 
 The items are taken in blocks of at most ``BLOCK_CHARS`` characters, so an automaton has a bounded size however large the
-benchmark is; the documents pass through one narrow step per block, and no step shuffles.
+benchmark is; the documents pass through all of them in one narrow step, as a task holds a Python worker for each step in it.
 
 Edge cases: null and empty texts have no words; items without words match nothing; an item without an id counts under the
 empty id; repeated items count once per id; empty tables give no hits or no rows; input columns stay as they are.
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from berthlake.llm import arrays
@@ -150,34 +149,37 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_char
          keep: list[str] | None = None, texts: bool = True) -> DataFrame:
     """``_row`` (the input row as a struct, or its columns ``keep``), ``_text`` if ``texts``, ``n_words``, the numbers of the
     words inside hits ``hit_words`` (rising), their count ``n_hit`` and the ids ``items``."""
-    row = F.struct(*(keep or ["*"]))
-    state = docs.select(
-        F.coalesce("text", F.lit("")).alias("_text"), row.alias("_row"), F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast("array<int>").alias("hit_words"), F.array().cast("array<string>").alias("items"))
-    spark = docs.sparkSession
-    parts = [b.toArrow() for b in blocks(benchmark, block_chars)] or [
-        pa.table({"item": pa.array([], pa.string()), "text": pa.array([], pa.string())})]
-    for i, part in enumerate(parts):
-        names = [n for n in state.columns if texts or n != "_text" or i < len(parts) - 1]
-        schema = T.StructType([state.schema[n] for n in names])
-        state = state.mapInArrow(marker(spark.sparkContext.broadcast(build(part, window)), window, names), schema)
-    return state.withColumn("n_hit", F.size("hit_words").cast("bigint"))
-
-
-def marker(shared, window: int, names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, automaton, fewest = shared.value
-        for batch in batches:
-            text = batch.column(0)
-            counts = np.zeros(len(text), np.int64)
-            hit_words, items = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            for first, end, data, offsets in arrays.slices(text):
-                data = arrays.LOWER[data]
-                found = arrays.words(data, offsets, arrays.LETTERS)
-                counts[first:end] = np.diff(found.bounds)
-                if not len(vocabulary) or not len(found.starts):
+    picked = docs.select(F.coalesce("text", F.lit("")).alias("_text"), F.struct(*(keep or ["*"])).alias("_row"))
+    fields = [picked.schema["_text"], picked.schema["_row"], T.StructField("n_words", T.LongType()),
+              T.StructField("hit_words", T.ArrayType(T.IntegerType())), T.StructField("items", T.ArrayType(T.StringType()))]
+    schema = T.StructType([f for f in fields if texts or f.name != "_text"])
+    found = picked.mapInArrow(marker(automata(benchmark, window, block_chars), window, schema.names), schema)
+    return found.withColumn("n_hit", F.size("hit_words").cast("bigint"))
+
+
+def automata(benchmark: DataFrame, window: int, block_chars: int) -> list:
+    """The automaton of each block, sent to the tasks."""
+    parts = [b.toArrow() for b in blocks(benchmark, block_chars)]
+    return [benchmark.sparkSession.sparkContext.broadcast(build(part, window)) for part in parts]
+
+
+def marked(batches: Iterator[pa.RecordBatch], shared: list, window: int):
+    """Per batch of (text, ...): the batch, and of each text the number of words, the words inside hits (rising) and the items."""
+    for batch in batches:
+        text = batch.column(0)
+        counts = np.zeros(len(text), np.int64)
+        hit_words, items = [[] for _ in range(len(text))], [[] for _ in range(len(text))]
+        for first, end, data, offsets in arrays.slices(text):
+            data = arrays.LOWER[data]
+            found = arrays.words(data, offsets, arrays.LETTERS)
+            counts[first:end] = np.diff(found.bounds)
+            if not shared or not len(found.starts):
+                continue
+            hashes = arrays.word_hashes(data, found)
+            for block in shared:
+                vocabulary, automaton, fewest = block.value
+                if not len(vocabulary):
                     continue
-                hashes = arrays.word_hashes(data, found)
                 at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
                 known = vocabulary[at] == hashes
                 # only runs of known words that are long enough for a window can hold a hit
@@ -198,23 +200,35 @@ def marker(shared, window: int, names: list[str]):
                             covered.update(range(base + x, base + y))
                         hit_words[first + doc] = sorted(covered)
                         items[first + doc] = sorted(ids | set(items[first + doc]))
-            made = {"_text": text, "_row": batch.column(1), "n_words": pa.array(counts),
+        yield batch, counts, hit_words, items
+    pa.default_memory_pool().release_unused()  # an idle worker stays beside the executor
+
+
+def marker(shared: list, window: int, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, counts, hit_words, items in marked(batches, shared, window):
+            made = {"_text": batch.column(0), "_row": batch.column(1), "n_words": pa.array(counts),
                     "hit_words": pa.array(hit_words, pa.list_(pa.int32())), "items": pa.array(items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays([made[n] for n in names], names=names)
 
     return run
 
 
-def cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without their hit words (and what stands between two of them); texts without hits are handed on as they are."""
-    for batch in batches:
-        texts = batch.column(0)
-        hit = pc.greater(pc.list_value_length(batch.column(2)), 0)
-        if pc.any(hit).as_py():
-            clean = [without_hits(t, np.array(h)) for t, h in zip(texts.filter(hit).to_pylist(), batch.column(2).filter(hit).to_pylist())]
-            texts = pc.replace_with_mask(texts, hit, pa.array(clean, texts.type))
-        yield pa.RecordBatch.from_arrays([texts, batch.column(1)], names=["_clean", "_row"])
-    pa.default_memory_pool().release_unused()  # an idle worker stays beside the executor
+def cleaner(shared: list, window: int, max_coverage: float):
+    """Batches of (text, row): the rows that stay, each with its text without the hit words (and what stands between two of them) if
+    there are any, else null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, counts, hit_words, _ in marked(batches, shared, window):
+            stays = np.fromiter(map(len, hit_words), np.int64, len(hit_words)) <= max_coverage * counts
+            clean = [None] * len(counts)
+            for i, hits in enumerate(hit_words):
+                if hits and stays[i]:
+                    clean[i] = without_hits(batch.column(0)[i].as_py(), np.array(hits))
+            out = pa.RecordBatch.from_arrays([pa.array(clean, pa.string()), batch.column(1)], names=["_clean", "_row"])
+            yield out if stays.all() else out.filter(pa.array(stays))
+
+    return run
 
 
 def without_hits(text: str, hits: np.ndarray) -> str:
@@ -229,18 +243,18 @@ def without_hits(text: str, hits: np.ndarray) -> str:
     return (b"".join(kept) + raw[at:]).decode()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE,
+                  block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents with hits cut out; those with more than ``max_coverage`` of their words in hits are left out.
 
     Columns are those of the input; ``text`` is changed where there were hits, and ``n_chars`` with it.
     """
-    found = scan(docs, benchmark, window).filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
-    schema = T.StructType([T.StructField("_clean", T.StringType()), found.schema["_row"]])
-    cleaned = found.select("_text", "_row", "hit_words").mapInArrow(cleaner, schema)
-    changed = F.coalesce("_row.text", F.lit("")) != F.col("_clean")
+    picked = docs.select(F.coalesce("text", F.lit("")).alias("_text"), F.struct("*").alias("_row"))
+    schema = T.StructType([T.StructField("_clean", T.StringType()), picked.schema["_row"]])
+    cleaned = picked.mapInArrow(cleaner(automata(benchmark, window, block_chars), window, max_coverage), schema)
     columns = []
     for name in docs.columns:
         old = F.col(f"_row.`{name}`")
         new = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast(docs.schema[name].dataType)}.get(name)
-        columns.append((F.when(changed, new).otherwise(old) if new is not None else old).alias(name))
+        columns.append((F.when(F.col("_clean").isNotNull(), new).otherwise(old) if new is not None else old).alias(name))
     return cleaned.select(*columns)

@@ -167,6 +167,35 @@ def test_decontamination(spark, texts):
     assert decontamination.scan(table(spark, []), bench).count() == 0
 
 
+def test_decontamination_holds_one_python_worker_a_task(spark, texts):
+    items = [" ".join(texts[k].split()[a:b]) for k, a, b in ((10, 3, 25), (11, 0, 10), (12, 5, 30), (13, 8, 20), (10, 20, 30))]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = table(spark, texts)
+
+    def workers(df):  # of a task, as nothing is shuffled
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        return plan.count("MapInArrow")
+
+    assert len(decontamination.blocks(bench, 60)) > 2
+    scans = [decontamination.scan(docs, bench, block_chars=n) for n in (decontamination.BLOCK_CHARS, 60)]
+    clean = [decontamination.decontaminate(docs, bench, block_chars=n) for n in (decontamination.BLOCK_CHARS, 60)]
+    assert [workers(df) for df in scans + clean] == [1] * 4
+    for whole, parts in (scans, clean):
+        assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+    hits = {r["_row"]["doc_id"]: r for r in scans[0].collect()}
+    assert {10, 11, 12, 13} <= {k for k, r in hits.items() if r["n_hit"]}
+    got = {r["doc_id"]: r for r in clean[0].collect()}
+    for r in docs.collect():
+        found = hits[r["doc_id"]]
+        assert (r["doc_id"] in got) == (2 * found["n_hit"] <= found["n_words"])
+        if r["doc_id"] in got and not found["n_hit"]:
+            assert got[r["doc_id"]] == r
+        elif r["doc_id"] in got:
+            left = got[r["doc_id"]]
+            assert len(left["text"].split()) == found["n_words"] - found["n_hit"] and left["n_chars"] == len(left["text"])
+
+
 def test_suffix_array_and_repeats():
     r = np.random.default_rng(3)
     for _ in range(150):
