@@ -1,5 +1,6 @@
 """The corpus operators against brute force on small tables with nulls, empty and long texts, ties and repeated rows."""
 
+import collections
 import hashlib
 import html
 import random
@@ -215,8 +216,9 @@ def test_permuted_prefixes_and_many_names():
         assert suffixes.suffix_array(a, letters).tolist() == sorted(range(300), key=lambda i: tuple(a[i:]))
     data = np.tile(r.integers(97, 100, 60).astype(np.uint8), 5)
     raw, sa = data.tobytes(), suffixes.suffix_array(data.astype(np.uint16) + np.uint16(1), 256)
-    prefixes = suffixes.permuted_prefixes(data, sa)
+    prefixes, long = suffixes.permuted_prefixes(data, sa), suffixes.permuted_prefixes(data, sa, 20)
     for above, i in zip(sa.tolist(), sa[1:].tolist()):
+        assert long[i] == prefixes[i] if prefixes[i] >= 20 else long[i] < 20
         assert prefixes[i] == next((k for k, (x, y) in enumerate(zip(raw[above:], raw[i:])) if x != y), min(len(raw) - above, len(raw) - i))
 
 
@@ -273,6 +275,30 @@ def test_suffix_dedup_hot_passages(spark, monkeypatch):
     assert seen == [suffix_dedup.PIECE, 1]
 
 
+def test_blocks_fold_their_anchors(monkeypatch):
+    """A block is sorted without the bytes of its anchors, and the windows found are those of a count by hand."""
+    r, size = random.Random(10), 40
+    texts = surrounded(r, (25, 39, 60), 12) + ["ab" * 60, "ab" * 50, "a" * 130, "ab" * 50 + "ba" * 50]
+    units = {}
+    for owner, batch in enumerate(pa.RecordBatch.from_arrays([pa.array([7]), pa.array([t])], names=["key", "text"]) for t in texts):
+        for b in suffix_dedup.segment_rows(size)(iter([batch])):
+            for p in b.to_pylist():
+                body = texts[owner][p["at"]: p["at"] + p["n"] + size - 1].encode()
+                units.setdefault((p["anchor"], p["digest"]), [p["anchor"], p["digest"], p["n"], 0, body])[3] += 1
+    units = sorted(map(tuple, units.values()))
+    count = collections.Counter()
+    for _, _, n, copies, body in units:
+        count.update({w: copies * k for w, k in collections.Counter(body[i: i + size] for i in range(n)).items()})
+    expected = {(a, d, i) for a, d, n, _, body in units for i in range(n) if count[body[i: i + size]] > 1}
+    sorted_bytes, repeated_starts = [], suffixes.repeated_starts
+    monkeypatch.setattr(suffixes, "repeated_starts", lambda data, k: sorted_bytes.append(len(data)) or repeated_starts(data, k))
+    for gram in (size // 2, 0):
+        found = zip(*(c.tolist() for c in suffix_dedup.block_hits(units, size, gram)))
+        assert {(a, d, i) for a, d, first, end in found for i in range(first, end)} == expected
+    assert 0 < len(expected) < sum(u[2] for u in units)
+    assert sorted_bytes[0] == sorted_bytes[1] - len(units) * (size // 2 - suffix_dedup.SIGN_BYTES)
+
+
 def test_stretches_of_a_long_text(monkeypatch):
     """A text worked on in stretches has every window once, under the same anchors."""
     data = random.Random(9).randbytes(5000).hex().encode()
