@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from berthlake.functions import time as bt
+from berthlake.functions.barrier import compute_once
 
 RATES = {
     "estimated_hourly_workload": "total_workload",
@@ -15,56 +16,95 @@ RATES = {
 
 
 def valid_schedule(df: DataFrame) -> DataFrame:
-    return df.filter(
-        (F.col("etd") > F.col("eta")) & (F.col("total_workload") > 0) & (F.col("stay_hours") > 0)
-    )
+    """Checked behind a barrier: a filter is merged with what makes its columns and would make each of them once per use."""
+    valid = (F.col("etd") > F.col("eta")) & (F.col("total_workload") > 0) & (F.col("stay_hours") > 0)
+    return compute_once(df, _valid=valid).filter("_valid").drop("_valid")
 
 
 def expand_hours(df: DataFrame) -> DataFrame:
     return df.withColumn("work_hour", F.explode(bt.hours_covered("eta", "etd")))
 
 
-def first_covers(df: DataFrame, key: str) -> DataFrame:
-    """The hours that the stays of a key cover at a terminal, each of them once: rows (terminal_id, eta, etd) that do not overlap.
+def by_day(df: DataFrame) -> DataFrame:
+    """A row per day that [eta, etd] touches, with the first and the last clock hour it touches there, in place of eta and etd."""
+    start, end, day = F.unix_date(F.to_date("eta")), F.unix_date(F.to_date("etd")), F.col("_day")
+    return df.withColumn("_day", F.explode(F.sequence(start, end, F.lit(1)))).select(
+        *[c for c in df.columns if c not in ("eta", "etd")],
+        F.date_from_unix_date(day).alias("work_date"),
+        F.when(day == start, F.hour("eta")).otherwise(0).alias("first"),
+        F.when(day == end, F.hour("etd")).otherwise(23).alias("last"),
+    )
+
 
-    Stays are combined per first hour below the exchange, so a key meets with one row per hour of its history at most.
+def hours_of(df: DataFrame, name: str) -> DataFrame:
+    """A row per terminal, day and value of ``name``; the bits of ``hours`` are the clock hours that its stays cover.
+
+    A day has at most 24 of them, so a value is dealt out once per day and not once per hour.
     """
-    stays = df.filter(F.col(key).isNotNull()).groupBy("terminal_id", key, bt.hour_floor("eta").alias("eta")).agg(
-        F.max(bt.hour_floor("etd")).alias("etd"))
-    earlier = Window.partitionBy("terminal_id", key).orderBy("eta").rowsBetween(Window.unboundedPreceding, -1)
-    free = F.max("etd").over(earlier) + F.expr("INTERVAL 1 HOUR")
-    stays = stays.withColumn("eta", F.greatest("eta", free))
-    return stays.filter(F.col("eta") <= F.col("etd")).select("terminal_id", "eta", "etd")
+    days = by_day(df.filter(F.col(name).isNotNull()).select("terminal_id", name, "eta", "etd"))
+    return days.groupBy("terminal_id", "work_date", name).agg(
+        F.bit_or(F.expr("shiftleft(1, last + 1) - shiftleft(1, first)")).alias("hours"))
 
 
-def hourly_workload(df: DataFrame, key: str = "gold_key", key_is_unique: bool = True) -> DataFrame:
-    """Spread the work of each call evenly over its stay and add it up per terminal and hour.
+def vessels_per_hour(df: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of a terminal and hour. Keys of a day that cover the same hours are counted before they are spread over them."""
+    alike = hours_of(df, key).groupBy("terminal_id", "work_date", "hours").agg(F.count("*").alias("vessel_count"))
+    covered = F.filter(F.sequence(F.lit(0), F.lit(23)), lambda h: F.getbit("hours", h) == 1)
+    hours = alike.withColumn("_hour", F.explode(covered))
+    return hours.select("terminal_id", bt.clock_hour("work_date", "_hour").alias("work_hour"), "vessel_count")
+
 
-    The exploded rows are combined before they are shuffled. Where the input holds one row per key a
-    plain count is the distinct count. Else the hours of each key are made disjoint before they are exploded, and their
-    number is the distinct count: no exchange carries a row per key and hour.
+def hourly_amounts(df: DataFrame, key: str, key_is_unique: bool) -> DataFrame:
+    """All of an hour but the names of its vessels: rows (terminal_id, work_hour, vessel_count, the rates, berth_list, latest_parsed_at).
+
+    Stays are combined per day, first and last hour before they are spread over hours, so what is spread is bounded by the days
+    and berths of a terminal and not by its stays. Where the input holds one row per key a plain count is the distinct count.
     """
     rated = df.select(
-        "terminal_id", "eta", "etd", "berth", "vessel_name", "parsed_at",
+        "terminal_id", "eta", "etd", "berth", "parsed_at",
         *[(F.col(src) / F.col("stay_hours")).alias(name) for name, src in RATES.items()],
-        F.lit(1 if key_is_unique else 0).alias("_vessels"),
+        F.lit(1 if key_is_unique else 0).alias("vessel_count"),
     )
+    combined = by_day(rated).groupBy("terminal_id", "work_date", "first", "last", "berth").agg(
+        *[F.sum(name).alias(name) for name in ("vessel_count", *RATES)], F.max("parsed_at").alias("parsed_at"))
+    combined = combined.withColumn("eta", bt.clock_hour("work_date", "first")).withColumn(
+        "etd", bt.clock_hour("work_date", "last"))
+    hours = expand_hours(combined).drop("work_date", "first", "last", "eta", "etd")
     if not key_is_unique:
-        covers = first_covers(df, key).withColumn("_vessels", F.lit(1))
-        rated = rated.unionByName(covers, allowMissingColumns=True)
-    out = (
-        expand_hours(rated)
-        .groupBy("terminal_id", "work_hour")
-        .agg(
-            F.sum("_vessels").alias("vessel_count"),
-            *[F.round(F.sum(name), 2).alias(name) for name in RATES],
-            F.array_sort(F.collect_set("berth")).alias("berth_list"),
-            F.array_sort(F.collect_set("vessel_name")).alias("vessel_list"),
-            F.max("parsed_at").alias("latest_parsed_at"),
-        )
+        hours = hours.unionByName(vessels_per_hour(df, key), allowMissingColumns=True)
+    return hours.groupBy("terminal_id", "work_hour").agg(
+        F.sum("vessel_count").alias("vessel_count"),
+        *[F.round(F.sum(name), 2).alias(name) for name in RATES],
+        F.array_sort(F.collect_set("berth")).alias("berth_list"),
+        F.max("parsed_at").alias("latest_parsed_at"),
+    )
+
+
+def hourly_workload(df: DataFrame, key: str = "gold_key", key_is_unique: bool = True) -> DataFrame:
+    """Spread the work of each call evenly over its stay and add it up per terminal and hour; rows come in this order.
+
+    The vessels of an hour are looked up among those of its day, after both have met: no exchange carries a row per vessel
+    and hour, and rows are ordered by day before the lists are made.
+    """
+    amounts = hourly_amounts(df, key, key_is_unique)
+    amounts = amounts.select(
+        "terminal_id", F.to_date("work_hour").alias("work_date"), F.struct(*amounts.columns[1:]).alias("hour"))
+    named = F.struct(F.coalesce("vessel_name", F.lit("")).alias("vessel_name"), "hours")
+    vessels = hours_of(df, "vessel_name").select("terminal_id", "work_date", named.alias("vessel"))
+    # a fixed number: behind this exchange rows grow by the hours of a day, too much for partitions put together by their size before
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    days = (
+        amounts.unionByName(vessels, allowMissingColumns=True)
+        .repartitionByRange(parts, "terminal_id", "work_date")
+        .groupBy("terminal_id", "work_date")
+        .agg(F.sort_array(F.collect_list("hour")).alias("hours"), F.sort_array(F.collect_list("vessel")).alias("vessels"))
+        .orderBy("terminal_id", "work_date")
     )
-    return out.withColumn("work_date", F.to_date("work_hour")).withColumn(
-        "work_hour_of_day", F.hour("work_hour")
+    clock = F.hour("hour.work_hour")
+    there = F.filter("vessels", lambda v: F.getbit(v["hours"], F.col("work_hour_of_day")) == 1)
+    return days.withColumn("hour", F.explode("hours")).withColumn("work_hour_of_day", clock).select(
+        "terminal_id", "hour.work_hour", "hour.vessel_count", *[f"hour.{name}" for name in RATES], "hour.berth_list",
+        there["vessel_name"].alias("vessel_list"), "hour.latest_parsed_at", "work_date", "work_hour_of_day",
     )
 
 
